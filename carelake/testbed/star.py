@@ -16,11 +16,17 @@ from carelake import schemas
 from carelake.operators import flatten
 
 AS_OF = "2024-12-01"
-CSV_AS_OF = "2023-12-31"
+LARGE = ("orders", "lineitem", "events")
 
 
 def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A source table. One that is a single small file would keep all later work on one core, so it
+    is spread first; a table of many splits is left as it is."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in LARGE and table.rdd.getNumPartitions() < cores:
+        return table.repartition(cores)
+    return table
 
 
 def _iso(timestamp: str) -> str:
@@ -444,8 +450,131 @@ def documents(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rows.selectExpr(f"to_json({bundle}) as document")
 
 
+# --- flat tables ----------------------------------------------------------------------------------
+# The same tables as the flatteners make, without building the documents first: input of the reports.
+
+FLAT_CONCEPT = "array(named_struct('code', {0}, 'display', {1}))"
+FLAT_LINE = "named_struct('amount', {}, 'category', named_struct('coding', {}))".format
+
+
+def _each(n: str, name: str = "i") -> str:
+    return f"explode(slice(array(1, 2, 3), 1, {n})) as {name}"
+
+
+def _flat_encounter(spark, sf_dir):
+    return (
+        _orders(spark, sf_dir)
+        .selectExpr("*", _each("cast((o_orderkey div 4) % 4 as int)"))
+        .selectExpr(
+            "concat('e', o_orderkey) as encounter_id",
+            "if(o_orderstatus = 'O', 'in-progress', 'finished') as status",
+            "case o_orderkey % 4 when 0 then 'AMB' when 1 then 'EMER' when 2 then 'IMP' else 'HH' end"
+            " as class_code",
+            "o_orderpriority as type_text",
+            "start_iso as start_time",
+            "end_iso as end_time",
+            "subject_ref as patient_reference",
+            "concat('Organization?identifier=', o_orderkey % 37) as service_provider_id",
+            "case o_orderkey % 10 when 0 then '' when 1 then null"
+            " else concat('Clinic ', o_orderkey % 37) end as service_provider_display",
+            "concat('Dr ', o_orderkey % 89 + i) as participant_individual_display",
+            "concat('Practitioner?identifier=us-npi|', o_orderkey % 89 + i)"
+            " as participant_individual_reference",
+            "start_iso as participant_period_start",
+            "end_iso as participant_period_end",
+            "'PPRF' as participant_type_code",
+            "'primary performer' as participant_type_display",
+        )
+    )
+
+
+def _flat_claim(spark, sf_dir):
+    return (
+        _orders(spark, sf_dir)
+        .selectExpr("*", _each("cast(o_orderkey % 3 as int)", "s"))
+        .selectExpr("*", _each("cast((o_orderkey div 3) % 3 as int)", "d"))
+        .selectExpr("*", _each("cast(1 + (o_orderkey div 9) % 3 as int)"))
+        .selectExpr(
+            "concat('c', o_orderkey) as claim_id",
+            "subject_ref as patient_reference",
+            "o_orderpriority as insurance_coverage_display",
+            "o_totalprice as total_amount",
+            "'CAD' as currency",
+            "encounter_ref as encounter_reference",
+        )
+    )
+
+
+def _flat_benefit(spark, sf_dir):
+    cents = "cents div 10 * i"
+    amounts = {
+        "Line Beneficiary Coinsurance Amount": f"({cents} div 5) / 100",
+        "Line Provider Payment Amount": f"({cents} * 4 div 5) / 100",
+        "Line Submitted Charge Amount": f"({cents}) / 100",
+        "Line Allowed Charge Amount": f"({cents}) / 100",
+        "Line Beneficiary Part B Deductible Amount": "cast(0 as double)",
+    }
+    lines = [
+        FLAT_LINE(_money(a), FLAT_CONCEPT.format(f"'{n.lower()}'", f"'{n}'"))
+        for n, a in amounts.items()
+    ]
+    none = "cast(null as struct<value:double,currency:string>)"
+    name = "Line Processing Indicator Code"
+    lines.append(FLAT_LINE(none, FLAT_CONCEPT.format(f"'{name.lower()}'", f"'{name}'")))
+    return (
+        _orders(spark, sf_dir)
+        .selectExpr("*", _each("cast(1 + (o_orderkey div 2) % 2 as int)", "k"))
+        .selectExpr("*", _each("cast(1 + o_orderkey % 2 as int)", "t"))
+        .selectExpr("*", _each("cast(1 + (o_orderkey div 4) % 3 as int)"))
+        .selectExpr(
+            "concat('b', o_orderkey) as eob_id",
+            "subject_ref as patient_reference",
+            "start_iso as billable_period_start",
+            "o_orderpriority as insurance_coverage_display",
+            f"if(i = 1 and o_orderkey % 5 = 0, null, array({', '.join(lines)})) as adjudication",
+            "o_totalprice as total_amount",
+            "(cents * 4 div 5) / 100 as payment_amount",
+        )
+    )
+
+
+def _flat_procedure(spark, sf_dir):
+    return (
+        _lines(spark, sf_dir)
+        .filter("l_returnflag <> 'N'")
+        .selectExpr("*", _each("1 + l_linenumber % 2"))
+        .selectExpr(
+            "concat('r', line_key) as procedure_id",
+            "concat(p_type, ' ', p_size) as procedure_code_display",
+            "subject_ref as subject_reference",
+            "encounter_ref as encounter_reference",
+        )
+    )
+
+
+def _flat_condition(spark, sf_dir):
+    return _lines(spark, sf_dir).selectExpr(
+        "concat('d', line_key) as condition_id",
+        "case p_size % 10 when 0 then concat('Chronic ', p_name) when 5 then"
+        " concat('old chronic ', p_name) else p_name end as condition_code_display",
+        "subject_ref as patient_reference",
+        "encounter_ref as encounter_reference",
+    )
+
+
+# The reports read these from the flat form; other tables go through their flattener.
+FLAT = {
+    "encounter": _flat_encounter,
+    "claim": _flat_claim,
+    "explanation_of_benefit": _flat_benefit,
+    "procedure": _flat_procedure,
+    "condition": _flat_condition,
+}
+
+
 def flat(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A flat table, made by its flattener."""
+    if table in FLAT:
+        return FLAT[table](spark, sf_dir)
     return flatten.TABLES[table](entries(spark, sf_dir, table))
 
 
