@@ -23,7 +23,9 @@ def parse_bundles(documents: DataFrame, text: Column) -> DataFrame:
 
 
 def entries(bundles: DataFrame) -> DataFrame:
-    return bundles.select(F.explode("entry").alias("entry"))
+    """One row per entry. The outer form with a filter behind it gives the rows of `explode`; the plain
+    form makes the optimizer test `size(entry)` before it, for which a document is parsed again."""
+    return bundles.select(F.explode_outer("entry").alias("entry")).filter("entry is not null")
 
 
 def cached_entries(bundles: DataFrame) -> DataFrame:
