@@ -131,13 +131,9 @@ def costliest_claims(claims: DataFrame, encounters: DataFrame, k: int = 10) -> D
         F.col("encounter_patient") == F.col("patient_id"),
         "left_semi",
     )
-    # Of one patient's encounters at most k rows can be listed; ranking keeps those and needs no
-    # whole group in memory.
-    pairs = F.broadcast(first).join(
-        _first_rows(met, k, "encounter_patient"),
-        F.col("patient_id") == F.col("encounter_patient"),
-        "left",
-    )
+    # At most k encounters of each of at most k patients can be listed.
+    shown = F.broadcast(_first_rows(met, k, "encounter_patient"))
+    pairs = first.join(shown, F.col("patient_id") == F.col("encounter_patient"), "left")
     listed = pairs.select(*claims.columns, *(c for c in encounters.columns if c != "patient_id"))
     return top(listed, k, "total_amount", *CLAIM_ORDER, *ENCOUNTER_ORDER)
 

@@ -10,6 +10,8 @@ same resource as bundle JSON text, to go through the real parser.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carelake import schemas
@@ -19,6 +21,7 @@ AS_OF = "2024-12-01"
 LARGE = ("orders", "lineitem", "events")
 
 
+@lru_cache(maxsize=64)
 def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A source table. One that is a single small file would keep all later work on one core, so it
     is spread first; a table of many splits is left as it is."""
