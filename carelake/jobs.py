@@ -1,15 +1,14 @@
-"""Whole jobs, from input paths to Parquet results.
+"""Whole jobs, from input paths to Parquet results. `run_job.py` starts them:
 
-    spark-submit -m carelake.jobs flatten    <bundles> <lake>
-    ... cost | disparity | risk | readmission  <lake> <results>
-    ... encounter-csv  <file> <results>
+    flatten                                 <bundles> <lake>
+    cost | disparity | risk | readmission   <lake>    <results> [as_of]
+    encounter-csv                           <file>    <results>
 
 Paths are any URI the cluster reads, an object store included.
 """
 
 from __future__ import annotations
 
-import sys
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -166,7 +165,12 @@ def _directory(title: str) -> str:
     return "_".join(title.lower().replace(".", "").split())
 
 
+JOBS = ("flatten", "cost", "disparity", "risk", "readmission", "encounter-csv")
+
+
 def main(job: str, source: str, target: str, as_of: str | None = None) -> None:
+    if job not in JOBS:
+        raise SystemExit(__doc__)
     as_of = as_of or date.today().isoformat()
     spark = tables.session(f"carelake {job}")
     if job == "flatten":
@@ -180,12 +184,6 @@ def main(job: str, source: str, target: str, as_of: str | None = None) -> None:
         results = disparity_results(spark, source, target, as_of)
     elif job == "risk":
         results = risk_results(spark, source, target, as_of)
-    elif job == "readmission":
-        results = readmission_results(spark, source, target, as_of)
     else:
-        raise SystemExit(__doc__)
+        results = readmission_results(spark, source, target, as_of)
     tables.write_results(results, target)
-
-
-if __name__ == "__main__":
-    main(*sys.argv[1:])

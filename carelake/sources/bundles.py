@@ -38,12 +38,15 @@ def stage_entries(bundles: DataFrame, path: str) -> DataFrame:
     """Write the entries once, in one directory per resource type, and read them back.
 
     Each table then scans its own directory and, Parquet being columnar, only the nested fields it
-    projects; the documents are parsed once however many tables are made of them.
+    projects; the documents are parsed once however many tables are made of them. The rebalance is one
+    shuffle, for files of even size: without it every task writes a file per type, and a task with a
+    very large document writes most of a type alone.
     """
     kind = F.col("entry.resource.resourceType").alias(TYPE_COLUMN)
     (
         entries(bundles)
         .select("entry", kind)
+        .hint("rebalance", TYPE_COLUMN)
         .write.mode("overwrite")
         .partitionBy(TYPE_COLUMN)
         .parquet(path)

@@ -254,15 +254,15 @@ VIEWS = {
     "pv": """SELECT procedure_id, replace(encounter_reference, 'urn:uuid:', '') AS encounter_id,
         procedure_code_display FROM procedure""",
     "feat": """SELECT patient_id, state,
-        coalesce(has_chronic, 0) AS has_chronic_conditions,
+        CAST(coalesce(has_chronic, 0) AS BIGINT) AS has_chronic_conditions,
         round(coalesce(total_claim_amount, 0), 2) AS total_healthcare_cost,
         CAST(trunc(date_diff('day', CAST(birth_date AS DATE), DATE '2024-12-01') / 365.25) AS BIGINT)
           AS age,
         CASE WHEN trunc(date_diff('day', CAST(birth_date AS DATE), DATE '2024-12-01') / 365.25) >= 65
-          THEN 1 ELSE 0 END AS is_senior,
+          THEN CAST(1 AS BIGINT) ELSE 0 END AS is_senior,
         CASE WHEN state IN ('CA', 'NY') THEN 0.8 ELSE 0.4 END AS region_risk,
         CASE WHEN trunc(date_diff('day', CAST(birth_date AS DATE), DATE '2024-12-01') / 365.25) > 50
-          THEN 1 ELSE 0 END AS label,
+          THEN CAST(1 AS BIGINT) ELSE 0 END AS label,
         coalesce(num_encounters, 0) AS num_encounters,
         coalesce(completed_encounters, 0) AS completed_encounters,
         coalesce(num_claims, 0) AS num_claims,

@@ -115,6 +115,28 @@ for name, (report, sql) in SQL.items():
     query(name, sql)(lambda lake, report=report: report(lake.csv()))
 
 
+@query(
+    "s04_rows_of_the_file",
+    """SELECT "GENDER", "MARITAL", count(*) AS n, count("ENCOUNTER_REASON_DESCRIPTION") AS reasons,
+         strftime(min("BIRTHDATE"), '%Y-%m-%d') AS oldest,
+         CAST(sum(CAST("ENCOUNTER_BASE_COST" AS DECIMAL(18, 2))) AS DOUBLE) AS base_cost
+       FROM flat_csv GROUP BY ALL""",
+    money=("base_cost",),
+)
+def _(lake: Lake):
+    """The file's lines as text, through the CSV parser with the declared types."""
+    made = lake.csv()
+    lines = made.select(F.to_csv(F.struct(*made.columns)).alias("line"))
+    declared = ", ".join(f"{name} {kind}" for name, kind in made.dtypes)
+    read = lines.select(F.from_csv("line", declared).alias("r")).select("r.*")
+    return read.groupBy("GENDER", "MARITAL").agg(
+        F.count("*").alias("n"),
+        F.count("ENCOUNTER_REASON_DESCRIPTION").alias("reasons"),
+        F.min("BIRTHDATE").alias("oldest"),
+        F.sum("ENCOUNTER_BASE_COST").alias("base_cost"),
+    )
+
+
 @query(
     "i19_all_reports",
     " UNION ALL ".join(

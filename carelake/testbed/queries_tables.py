@@ -169,6 +169,29 @@ def _(lake: Lake):
     return profile.profile(lake.table("encounter"), "class_code", PROFILED)
 
 
+VARYING = " UNION ALL ".join(
+    f"""SELECT class_code, '{c}' AS name, count(DISTINCT {c})
+          + CASE WHEN count({c}) < count(*) THEN 1 ELSE 0 END > 1 AS varies
+        FROM encounter GROUP BY class_code"""
+    for c in PROFILED
+)
+
+
+@query(
+    "s12_informative_columns",
+    f"""SELECT class_code, string_agg(name, ', ' ORDER BY name) AS all_columns,
+          string_agg(name, ', ' ORDER BY name) FILTER (varies) AS informative_columns
+        FROM ({VARYING}) GROUP BY class_code""",
+)
+def _(lake: Lake):
+    found = profile.profile(lake.table("encounter"), "class_code", PROFILED)
+    lists = profile.column_lists(found, "class_code")
+    return lists.select(
+        "class_code",
+        *(F.array_join(c, ", ").alias(c) for c in ("all_columns", "informative_columns")),
+    )
+
+
 @query(
     "s12_distinct_counts",
     " UNION ALL ".join(

@@ -171,3 +171,9 @@ def test_age_box(spark):
     df = spark.createDataFrame([(a,) for a in (1, 2, 2, 3, 4, 5, 100, None)], "age int")
     box = d.age_box(df).first().asDict()
     assert box == {"lowest": 1, "whisker_low": 1, "q1": 2.25, "median": 3.5, "q3": 4.75, "whisker_high": 5, "highest": 100, "outliers": 1}
+
+
+def test_distinct_counts(spark):
+    df = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id") % 500).alias("v"))
+    assert d.distinct_count(df, "v", "n").first().n == 501  # NULL is one
+    assert abs(d.approx_distinct_count(df, "v", "n").first().n - 500) < 40
