@@ -99,7 +99,7 @@ def age_label(age: Column, over: int = LABEL_AGE) -> Column:
 
 def bare_key(reference: Column) -> Column:
     """The reference without its prefix; a reference that has none is kept as it is."""
-    return F.regexp_replace(reference, KEY_PREFIX, "")
+    return F.replace(reference, F.lit(KEY_PREFIX), F.lit(""))
 
 
 def key_after_prefix(reference: Column) -> Column:
