@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import common, langid, quality
+from carelake.llm import common, langid, ngram_join, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,34 @@ def query(sql: str | None = None):
     return add
 
 
+@query(
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) < 5 THEN list_filter([array_to_string(w, ' ')], lambda s: s <> '')
+            ELSE list_distinct(list_transform(range(0, len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' '))) END AS s
+        FROM words
+    ), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) * 10 >= 8 * (a.n + b.n - count(*))
+    ), reached AS (
+        SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+    ), digests AS (SELECT doc_id, list_sort(s) AS s FROM sets)
+    SELECT d.doc_id, least(d.doc_id, coalesce(r.y, d.doc_id)) AS class_id, coalesce(l.n, 0) AS n_links, c.n AS n_copies
+    FROM digests d
+    LEFT JOIN (SELECT x, min(y) AS y FROM reached GROUP BY x) r ON r.x = d.doc_id
+    LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) l ON l.x = d.doc_id
+    JOIN (SELECT doc_id, CASE WHEN len(s) = 0 THEN 1 ELSE count(*) OVER (PARTITION BY s) END AS n FROM digests) c
+        ON c.doc_id = d.doc_id
+    """
+)
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.joined(common.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 @query()
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
