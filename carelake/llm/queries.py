@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import common, langid, ngram_join, quality
+from carelake.llm import common, decontam, langid, ngram_join, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +53,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "class_id", "n_links", "n_copies")
 
 
+@query()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (common.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontam.found(docs, benchmark)
+
+
 @query()
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
