@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import common, decontam, langid, ngram_join, quality
+from carelake.llm import common, decontam, langid, ngram_join, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +53,20 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "class_id", "n_links", "n_copies")
 
 
+@query()
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scanned(docs, secret_scan.fit(docs)).select("doc_id", "secrets")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "crf")
+    counts = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
+    digest = F.sha2(joined(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts[:3], digest, joined(F.col("secrets")).alias("spans"), counts[3])
+
+
 @query()
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (common.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
