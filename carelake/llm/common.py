@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task, which bounds the memory of the numpy arrays; a longer
@@ -58,6 +58,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(df: DataFrame, *order: Column, name: str) -> DataFrame:
+    """The rows with their place, from 0, in the given order; ranges are numbered apart, then shifted."""
+    ranges = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranges = staged(ranges)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranges.groupBy("_range").agg(F.count("*").alias("_n"))  # one row for each shuffle partition
+    counts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return ranges.withColumn("_own", own).join(counts, "_range").withColumn(name, F.col("_before") + F.col("_own")).drop("_range", "_own", "_before")
+
+
 def crc_bucket(doc_id, n: int):
     """crc32 of the id as text, modulo n; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % n

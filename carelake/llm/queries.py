@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import common, decontam, langid, ngram_join, quality, secret_scan
+from carelake.llm import common, decontam, langid, mixing, ngram_join, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +67,12 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts[:3], digest, joined(F.col("secrets")).alias("spans"), counts[3])
 
 
+@query()
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mixed(common.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 @query()
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (common.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
