@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import common, decontam, langid, mixing, ngram_join, quality, secret_scan
+from carelake.llm import common, decontam, langid, mixing, ngram_join, quality, secret_scan, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +67,31 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts[:3], digest, joined(F.col("secrets")).alias("spans"), counts[3])
 
 
+@query(
+    r"""
+    WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    windows AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 800)) AS w FROM raw, range(0, n - 399) AS r(i) WHERE n >= 400),
+    repeated AS (SELECT doc_id, i FROM windows SEMI JOIN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1) USING (w)),
+    marked AS (
+        SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 400 THEN 0 ELSE 1 END AS fresh FROM repeated
+    ), numbered AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+    spans AS (SELECT doc_id, k, min(i) AS low, max(i) + 400 AS high FROM numbered GROUP BY doc_id, k),
+    before AS (SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS prior FROM spans),
+    pieces AS (
+        SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS tail,
+            string_agg(substr(x, 2 * prior + 1, 2 * (low - prior)), '' ORDER BY low) AS kept
+        FROM before JOIN raw USING (doc_id) GROUP BY doc_id
+    )
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+        sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+    FROM raw LEFT JOIN pieces USING (doc_id)
+    """
+)
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.deduplicated(common.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("size").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
 @query()
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mixed(common.table(spark, sf_dir, "documents"))
