@@ -62,7 +62,8 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     base = F.filter("secrets", lambda s: s["kind"] != "crf")
-    counts = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
+    kinds = F.transform("secrets", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, F.lit(k).eqNullSafe)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
     digest = F.sha2(joined(base), 256).alias("base_sha256")
     return found.select("doc_id", *counts[:3], digest, joined(F.col("secrets")).alias("spans"), counts[3])
 
