@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import common, decontam, langid, mixing, ngram_join, quality, secret_scan, suffix_dedup
+from carelake.llm import chat, common, decontam, langid, mixing, ngram_join, quality, secret_scan, spotsigs, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,6 +99,37 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query(
+    r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), marks AS (
+        SELECT *, length(text) + length(regexp_replace(text, '[^\\<\[\]]', '', 'g')) AS escaped,
+            CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15 WHEN 'assistant' THEN 8
+                ELSE 16 + length(role) + length(regexp_replace(role, '[^\\<\[\]]', '', 'g')) END AS around
+        FROM turns
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(3 + sum(escaped + around) AS BIGINT) AS formatted_chars
+    FROM marks GROUP BY conv_id
+    """
+)
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.digests(chat.formatted(turns.union(added))).drop("valid")
+
+
+@query()
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.with_next(common.table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (common.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
