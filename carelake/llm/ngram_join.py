@@ -31,7 +31,7 @@ from carelake.llm import common
 from carelake.llm.components import components, stars
 
 THRESHOLD, WORDS = 0.8, 5
-COORDINATES, SPLIT, DEPTH, BUCKET = 64, 0.6, 4, 1000
+COORDINATES, SPLIT, DEPTH, BUCKET = 64, 0.6, 4, 4000
 RECALL = 0.9995
 #: Sets of a candidate class that one block of the exact check holds.
 BLOCK = 256
@@ -246,7 +246,8 @@ def joined(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL
     members = members.union(stars_found.select("root", "root").distinct())
     members = common.staged(members.join(sets.select("set_id", "copies", "head.k1", "head.k2"), "set_id"))
 
-    texts = keyed.join(members.select("set_id", "k1", "k2"), ["k1", "k2"]).select("set_id", "text")
+    # the same plan at every size: members grow with the corpus
+    texts = keyed.join(members.select("set_id", "k1", "k2").hint("merge"), ["k1", "k2"]).select("set_id", "text")
     shingled = texts.mapInArrow(_with_shingles, "set_id long, shingles binary").dropDuplicates(["set_id"])
     sizes = members.groupBy("class").agg(F.count("*").alias("n"))
     blocks = _in_blocks(members.join(sizes, "class"), F.col("n"), BLOCK, "class")
