@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import chat, common, decontam, langid, mixing, ngram_join, quality, secret_scan, spotsigs, suffix_dedup
+from carelake.llm import chat, common, decontam, langid, licenses, mixing, ngram_join, quality, secret_scan, spotsigs, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,6 +125,16 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(turns.union(added))).drop("valid")
 
 
+@query()
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scanned(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("licenses", lambda f: f["license"])))
+    spans = F.transform("licenses", lambda f: F.concat_ws(":", f["license"], f["start"], f["end"]))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"), F.array_join(spans, ",").alias("spans")
+    )
+
+
 @query()
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.with_next(common.table(spark, sf_dir, "documents"))
