@@ -58,6 +58,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def numbered(df: DataFrame, *order: Column, name: str) -> DataFrame:
     """The rows with their place, from 0, in the given order; ranges are numbered apart, then shifted."""
     ranges = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())

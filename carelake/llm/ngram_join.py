@@ -277,8 +277,8 @@ def joined(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One document of each class, the one with the least id, with all its columns; rows of equal id and text are one."""
-    heads = joined(docs, threshold, recall).filter("is_head").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
+    k1, k2 = common.fresh(docs, "_k1"), common.fresh(docs, "_k2")
+    heads = joined(docs, threshold, recall).filter("is_head").select(F.col("k1").alias(k1), F.col("k2").alias(k2))
     text = F.col("text").cast("string")
-    keys = {"_k1": F.xxhash64("doc_id", text), "_k2": F.xxhash64(F.lit(7), text, "doc_id")}
-    kept = docs.withColumns(keys).join(heads, ["_k1", "_k2"], "left_semi")
-    return kept.dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    keyed = docs.withColumns({k1: F.xxhash64("doc_id", text), k2: F.xxhash64(F.lit(7), text, "doc_id")})
+    return keyed.join(heads, [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*docs.columns)

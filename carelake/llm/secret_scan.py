@@ -341,9 +341,10 @@ def redacted(docs: DataFrame, field: Field | None, put: str = "[SECRET]") -> Dat
                 out.append(redacted_text(own, spans, put) if spans else own)
         return pa.array(out, pa.string())
 
-    new = docs.withColumn("_redacted", of(F.col("text").cast("string")))
+    name = common.fresh(docs, "_redacted")
+    new = docs.withColumn(name, of(F.col("text").cast("string")))
     if "n_chars" in docs.columns:
-        changed = ~F.col("_redacted").eqNullSafe(F.col("text"))
-        count = F.when(changed, F.length("_redacted")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        changed = ~F.col(name).eqNullSafe(F.col("text"))
+        count = F.when(changed, F.length(name)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
         new = new.withColumn("n_chars", count)
-    return new.withColumn("text", F.col("_redacted")).select(docs.columns)
+    return new.withColumn("text", F.col(name)).select(docs.columns)
