@@ -35,6 +35,7 @@ RISK_STATES = ("CA", "NY")
 RISK_IN, RISK_OUT = 0.8, 0.4
 # The four codes of the administrative-gender value set.
 GENDERS = ("female", "male", "other", "unknown")
+UNLISTED = "unlisted"
 
 
 def _label(code: Column, labels: dict[str, str], rest: str) -> Column:

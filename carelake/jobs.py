@@ -25,12 +25,14 @@ def _kept(table: DataFrame, path: str, name: str) -> DataFrame:
 
 
 def flatten_job(spark: SparkSession, source: str, lake: str, partitions: int | None = None) -> None:
-    """Bundles to the twelve flat tables. The documents are parsed once, into `<lake>/_entries`."""
+    """Bundles to the twelve flat tables, and the malformed documents to the table `rejected`. The
+    documents are parsed once, into `<lake>/_entries`."""
     staged = bundles.stage_entries(
         bundles.read_bundles(spark, source, partitions), f"{lake}/_entries"
     )
     for name, build in flatten.TABLES.items():
         tables.write_table(build(staged), lake, name)
+    tables.write_table(bundles.rejected(staged), lake, bundles.REJECTED)
 
 
 def cost_results(spark: SparkSession, lake: str, as_of: str) -> dict[str, DataFrame]:

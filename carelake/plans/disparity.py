@@ -214,9 +214,11 @@ def duration_by_class_and_age_group(totals: DataFrame) -> DataFrame:
 def duration_by_class_age_group_and_gender(
     totals: DataFrame, genders: Sequence[str] = codes.GENDERS
 ) -> DataFrame:
-    means = mean_durations(totals, "class_code", "age_group", "gender")
-    rows = ["class_code", "age_group"]
-    return cells(means, rows, "gender", genders, F.col("avg_duration"), fill=0.0)
+    """A column for each of `genders`, and one for all others and NULL together."""
+    listed = F.when(F.col("gender").isin(*genders), F.col("gender")).otherwise(codes.UNLISTED)
+    means = mean_durations(totals.withColumn("gender", listed), "class_code", "age_group", "gender")
+    rows, columns = ["class_code", "age_group"], [*genders, codes.UNLISTED]
+    return cells(means, rows, "gender", columns, F.col("avg_duration"), fill=0.0)
 
 
 # --- explanations of benefit ----------------------------------------------------------------------

@@ -71,26 +71,33 @@ def settled(features: DataFrame) -> DataFrame:
 
 def draw(seed: int = SEED, key: str = KEY) -> Column:
     """A hexadecimal number per row that depends on its key and the seed alone, so a split is the same
-    whenever and wherever a partition is computed."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))
+    whenever and wherever a partition is computed. A NULL key draws like an empty one."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+
+
+def _number(seed: int) -> Column:
+    """The first 32 bits of the draw."""
+    return F.conv(F.substring(draw(seed), 1, 8), 16, 10).cast("long")
 
 
 def hold_out_share(features: DataFrame, share: float = 0.2, seed: int = SEED):
-    """Train and test rows, about `share` of them for the test."""
-    held = F.substring(draw(seed), 1, 8) < f"{int(share * 2**32):08x}"
+    """Train and test rows, about `share` (0 to 1) of them for the test. Every row is in one of them."""
+    if not 0 <= share <= 1:
+        raise ValueError(f"share {share} is not within 0 and 1")
+    held = _number(seed) < int(share * 2**32)
     return features.filter(~held), features.filter(held)
 
 
 def hold_out_rows(features: DataFrame, rows: int = 5, seed: int = SEED):
-    """Train and test rows, exactly `rows` for the test: those with the lowest draw."""
+    """Train and test rows, `rows` for the test: those with the lowest draw. Rows that share the key of
+    the last of them go with it; an empty table gives two empty ones."""
     lowest = features.select(draw(seed).alias("d")).orderBy("d").limit(rows)
-    last = lowest.agg(F.max("d")).first()[0]
+    last = lowest.agg(F.max("d")).first()[0] or ""
     return features.filter(draw(seed) > last), features.filter(draw(seed) <= last)
 
 
 def with_fold(features: DataFrame, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
-    number = F.conv(F.substring(draw(seed + 1), 1, 8), 16, 10).cast("long")
-    return features.withColumn("fold", (number % folds).cast("int"))
+    return features.withColumn("fold", (_number(seed + 1) % folds).cast("int"))
 
 
 # --- preparation ----------------------------------------------------------------------------------

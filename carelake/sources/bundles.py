@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from carelake.schemas import BUNDLE
 
 TYPE_COLUMN = "resource_type"
+#: Text of a document that is not well-formed, and the directory of such documents among staged entries.
+CORRUPT, REJECTED = "corrupt", "rejected"
 
 
 def read_bundles(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """One row per file. Small files are packed into splits by the reader; `partitions` rebalances
-    further when a few files are much larger than the rest."""
-    bundles = spark.read.schema(BUNDLE).json(path, multiLine=True)
+    further when a few files are much larger than the rest. A malformed file keeps its text in
+    `corrupt` beside what could be read of it, and every file its path."""
+    schema = f"{BUNDLE}, {CORRUPT} string"
+    bundles = spark.read.schema(schema).json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    bundles = bundles.select("entry", CORRUPT, F.col("_metadata.file_path").alias("path"))
     return bundles.repartition(partitions) if partitions else bundles
 
 
@@ -40,12 +45,21 @@ def stage_entries(bundles: DataFrame, path: str) -> DataFrame:
     Each table then scans its own directory and, Parquet being columnar, only the nested fields it
     projects; the documents are parsed once however many tables are made of them. The rebalance is one
     shuffle, for files of even size: without it every task writes a file per type, and a task with a
-    very large document writes most of a type alone.
+    very large document writes most of a type alone. Malformed documents of `read_bundles` are written
+    in the same pass (see `rejected`).
     """
-    kind = F.col("entry.resource.resourceType").alias(TYPE_COLUMN)
+    kind = F.col("entry.resource.resourceType")
+    if CORRUPT in bundles.columns:
+        note = F.struct("path", F.col(CORRUPT).alias("text"))
+        each = F.transform("entry", lambda e: F.struct(e.alias("entry"), F.lit(None).cast("struct<path:string,text:string>").alias(REJECTED)))
+        lost = F.struct(F.lit(None).cast(bundles.schema["entry"].dataType.elementType).alias("entry"), note.alias(REJECTED))
+        both = F.concat(F.coalesce(each, F.array().cast(_pairs(bundles))), F.when(F.col(CORRUPT).isNotNull(), F.array(lost)).otherwise(F.array().cast(_pairs(bundles))))
+        rows = bundles.select(F.explode(both).alias("row")).select("row.*").filter(f"entry is not null or {REJECTED} is not null")
+        rows = rows.select("entry", REJECTED, F.when(F.col(REJECTED).isNotNull(), REJECTED).otherwise(kind).alias(TYPE_COLUMN))
+    else:
+        rows = entries(bundles).select("entry", kind.alias(TYPE_COLUMN))
     (
-        entries(bundles)
-        .select("entry", kind)
+        rows
         .hint("rebalance", TYPE_COLUMN)
         .write.mode("overwrite")
         .partitionBy(TYPE_COLUMN)
@@ -54,6 +68,17 @@ def stage_entries(bundles: DataFrame, path: str) -> DataFrame:
     return bundles.sparkSession.read.parquet(path)
 
 
+def _pairs(bundles: DataFrame) -> str:
+    """Type of an array of an entry and a rejected document."""
+    entry = bundles.schema["entry"].dataType.elementType.simpleString()
+    return f"array<struct<entry:{entry},{REJECTED}:struct<path:string,text:string>>>"
+
+
+def rejected(staged: DataFrame) -> DataFrame:
+    """path and text of the malformed documents among staged entries."""
+    return staged.filter(F.col(TYPE_COLUMN) == REJECTED).select(f"{REJECTED}.*")
+
+
 def resources(entries: DataFrame, kind: str) -> DataFrame:
     """Resources of one type. On staged entries the filter selects the directory."""
     staged = TYPE_COLUMN in entries.columns

@@ -243,7 +243,9 @@ def _(lake: Lake):
 
 @query(
     "d21_class_age_group_and_gender_table",
-    f"SELECT class_code, age_group, {_pivot('gender', codes.GENDERS, CELL)} FROM fep GROUP BY 1, 2",
+    f"SELECT class_code, age_group, {_pivot('gender', codes.GENDERS, CELL)}, coalesce(round(avg(encounter_duration)"
+    " FILTER (gender IS NULL OR NOT list_contains(['female', 'male', 'other', 'unknown'], gender)) + 1e-9, 4), 0)"
+    f" AS {codes.UNLISTED} FROM fep GROUP BY 1, 2",
 )
 def _(lake: Lake):
     return d.duration_by_class_age_group_and_gender(lake.usual_totals())

@@ -18,18 +18,12 @@ from carelake import schemas
 from carelake.operators import flatten
 
 AS_OF = "2024-12-01"
-LARGE = ("orders", "lineitem", "events")
 
 
 @lru_cache(maxsize=64)
 def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table. One that is a single small file would keep all later work on one core, so it
-    is spread first; a table of many splits is left as it is."""
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in LARGE and table.rdd.getNumPartitions() < cores:
-        return table.repartition(cores)
-    return table
+    """A source table, in the reader's splits (`spark.sql.files.maxPartitionBytes`) at every size."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _iso(timestamp: str) -> str:

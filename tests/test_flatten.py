@@ -288,3 +288,19 @@ def test_schema_does_not_depend_on_the_sample(spark, lake, tmp_path):
     whole = bundles.entries(bundles.read_bundles(spark, lake))
     for build in flatten.TABLES.values():
         assert build(tiny).schema == build(whole).schema
+
+
+def test_malformed_documents_are_kept_apart(spark, tmp_path):
+    folder = tmp_path / "bundles"
+    folder.mkdir()
+    good = '{"entry": [{"resource": {"resourceType": "Patient", "id": "p%d"}}, {"resource": {"resourceType": "Claim", "id": "c"}}]}'
+    for i in range(3):
+        (folder / f"{i}.json").write_text(good % i if i else (good % i)[:-2])
+    (folder / "empty.json").write_text("{}")
+    staged = bundles.stage_entries(bundles.read_bundles(spark, str(folder)), str(tmp_path / "staged"))
+    lost = bundles.rejected(staged).collect()
+    assert [(r["path"].rsplit("/", 1)[1], r["text"]) for r in lost] == [("0.json", (good % 0)[:-2])]
+    assert {"p1", "p2"} <= {r["id"] for r in bundles.resources(staged, "Patient").collect()}
+    assert bundles.resources(staged, "Claim").count() >= 2
+    tidy = bundles.stage_entries(bundles.read_bundles(spark, str(folder / "[12].json")), str(tmp_path / "tidy"))
+    assert bundles.rejected(tidy).count() == 0

@@ -113,3 +113,17 @@ def test_feature_defaults(spark):
     empty = got["p2"]
     assert empty["first_encounter"] is None and empty["last_encounter"] is None
     assert all(empty[c] == 0 for c in ("num_encounters", "num_claims", "total_claim_amount", "has_chronic_conditions", "age"))
+
+
+def test_no_row_is_lost_to_a_missing_key(spark):
+    people = spark.createDataFrame([(str(i) if i > 1 else None,) for i in range(300)], "patient_id string")
+    for share in (0.0, 0.2, 1.0):
+        train, test = models.hold_out_share(people, share)
+        assert train.count() + test.count() == 300
+        assert share not in (0.0, 1.0) or test.count() == 300 * share
+    train, test = models.hold_out_rows(people)
+    assert train.count() + test.count() == 300 and 5 <= test.count() <= 6
+    assert models.with_fold(people).filter("fold is null").count() == 0
+    assert [t.count() for t in models.hold_out_rows(people.limit(0))] == [0, 0]
+    with pytest.raises(ValueError):
+        models.hold_out_share(people, 1.5)

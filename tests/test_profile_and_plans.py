@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as book
 from carelake.operators import profile
 from carelake.plans import cost
-from carelake.testbed.book import Lake
+from carelake.testbed.book import QUERIES, Lake
 
 
 def test_profile(spark):
@@ -44,7 +44,7 @@ MODELS = re.compile(r"m1[4-9]|m2\d|m13_hold_out_rows")
 
 
 def test_no_query_pairs_rows_without_a_key(spark, sf_dir):
-    for name, run in book.queries().items():
+    for name, run in QUERIES.items():
         if MODELS.match(name):
             continue  # these fit while they are built
         plan = plan_of(run(spark, sf_dir))
@@ -135,3 +135,12 @@ def test_contract(spark):
     assert set(book.oracle_sql()) <= set(book.queries())
     assert book.entry(spark).columns == ["class_code", "age_group", "avg_duration"]
     assert Lake(spark, "x").sf_dir == "x"
+
+
+def test_unlisted_genders_have_a_column(spark):
+    from carelake.plans import disparity
+
+    rows = [("AMB", "0-18", g, m, 1) for g, m in (("female", 20.0), ("M", 10.0), (None, 30.0))]
+    totals = spark.createDataFrame(rows, "class_code string, age_group string, gender string, minutes double, timed long")
+    out = disparity.duration_by_class_age_group_and_gender(totals).first()
+    assert (out["female"], out["male"], out["unlisted"]) == (20.0, 0.0, 20.0)
