@@ -229,10 +229,12 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, reach: int = REACH, grou
 
     digits = long.select("text").mapInArrow(_anchor_rows(length, reach, False), "digit long")
     again = digits.groupBy("digit").agg(F.count("*").alias("n")).filter("n > 1").select("digit")
+    again = common.staged(again)  # both sides of the join then come from plain shuffles, which skew join can split
     schema = "digit long, whole long, key long, size long, low long, high long"
     rows = long.select("text", "key", "size").mapInArrow(_anchor_rows(length, reach, True), schema)
-    rows = rows.join(again.hint("merge"), "digit").groupBy("digit", "whole", "key", "size", "low", "high").agg(F.count("*").alias("n"))
-    rows = common.staged(rows)
+    # grouped by the row as a whole: copies are reduced before they shuffle by it, and the join can be split at a hot digit
+    rows = rows.join(again.hint("merge"), "digit").groupBy(F.struct("digit", "whole", "key", "size", "low", "high").alias("row"))
+    rows = common.staged(rows.agg(F.count("*").alias("n")).select("row.*", "n"))
     wholes = rows.groupBy("digit", "whole").agg(F.sum("n").alias("all"), F.min(F.struct("key", "size", "low", "high")).alias("model"))
     wholes = common.staged(wholes)
     single = wholes.filter("all = 1").select("digit", "whole")
