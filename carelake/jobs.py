@@ -18,12 +18,6 @@ from carelake.plans import cost, disparity, encounter_csv, features, models
 from carelake.sources import bundles, tables
 
 
-def _kept(table: DataFrame, path: str, name: str) -> DataFrame:
-    """A shared intermediate as a table of its own: computed once, and there after a lost executor."""
-    tables.write_table(table, path, name)
-    return tables.read_table(table.sparkSession, path, name)
-
-
 def flatten_job(spark: SparkSession, source: str, lake: str, partitions: int | None = None) -> None:
     """Bundles to the twelve flat tables, and the malformed documents to the table `rejected`. The
     documents are parsed once, into `<lake>/_entries`."""
@@ -35,14 +29,15 @@ def flatten_job(spark: SparkSession, source: str, lake: str, partitions: int | N
     tables.write_table(bundles.rejected(staged), lake, bundles.REJECTED)
 
 
-def cost_results(spark: SparkSession, lake: str, as_of: str) -> dict[str, DataFrame]:
+def cost_results(spark: SparkSession, lake: str, results: str, as_of: str) -> dict[str, DataFrame]:
     patient, encounter, claim, procedure = (
         tables.read_table(spark, lake, n) for n in ("patient", "encounter", "claim", "procedure")
     )
     patients, encounters = cost.patient_view(patient), cost.encounter_view(encounter)
     claims, procedures = cost.claim_view(claim), cost.procedure_view(procedure)
-    costliest = cost.costliest_claims(claims, encounters)
+    costliest = tables.kept(cost.costliest_claims(claims, encounters), results, "_costliest")
     by_procedure = cost.cost_by_procedure(procedures, claims, encounters)
+    by_procedure = tables.kept(by_procedure, results, "_by_procedure")
     return {
         "costliest_claims": costliest,
         "mean_of_costliest_by_type": cost.mean_of_costliest(costliest),
@@ -66,10 +61,10 @@ def disparity_results(
     patients, encounters = d.clean_patients(patient, as_of), d.clean_encounters(encounter)
     usual = d.without_outliers(encounters)
     known = d.encounters_with_patients(encounters, patients)
-    totals = _kept(d.encounter_totals(encounters, patients), results, "_totals")
-    usual_totals = _kept(d.encounter_totals(usual, patients), results, "_usual_totals")
+    totals = tables.kept(d.encounter_totals(encounters, patients), results, "_totals")
+    usual_totals = tables.kept(d.encounter_totals(usual, patients), results, "_usual_totals")
     weights = d.patient_weights(usual, patients)
-    amounts = _kept(d.category_totals(eob, weights), results, "_category_totals")
+    amounts = tables.kept(d.category_totals(eob, weights), results, "_category_totals")
     marital = ("marital_status", "gender", "age_group")
     return {
         "number_of_cities": d.distinct_count(patient, "city", "cities"),
@@ -111,10 +106,17 @@ def disparity_results(
     }
 
 
-def csv_results(spark: SparkSession, source: str) -> dict[str, DataFrame]:
-    """The reports by title. The file is read once for all of them while it is cached."""
-    rows = tables.read_encounter_csv(spark, source).cache()
-    return encounter_csv.all_reports(rows)
+def csv_results(
+    spark: SparkSession,
+    source: str,
+    results: str,
+    schema: str | None = None,
+    year: int = encounter_csv.DEFAULT_AS_OF,
+) -> dict[str, DataFrame]:
+    """The reports by title, ages counted to `year`. The file is parsed once, into Parquet; with a
+    `schema` the pass that infers types is left out."""
+    rows = tables.kept(tables.read_encounter_csv(spark, source, schema), results, "_rows")
+    return encounter_csv.all_reports(rows, year)
 
 
 def _feature_rows(spark: SparkSession, lake: str, results: str, as_of: str, span: bool) -> DataFrame:
@@ -130,29 +132,74 @@ def _feature_rows(spark: SparkSession, lake: str, results: str, as_of: str, span
             "diagnostic_report",
         )
     }
-    return _kept(features.feature_table(sources, as_of, span=span), results, "features")
+    return tables.kept(features.feature_table(sources, as_of, span=span), results, "features")
 
 
 def risk_results(
-    spark: SparkSession, lake: str, results: str, as_of: str, trees: int = 100, rounds: int = 1000
+    spark: SparkSession,
+    lake: str,
+    results: str,
+    as_of: str,
+    trees: int = 100,
+    rounds: int = 1000,
+    folds: int = models.FOLDS,
+    grid: dict = models.GRID,
 ) -> dict[str, DataFrame]:
-    """Forest and boosted risk scores of five held-out patients, with their errors."""
+    """Forest and boosted risk scores of five held-out patients with their errors, the forest's
+    cross-validated error, and the parameter search of the forest with the scores of its best point."""
     train, test = models.hold_out_rows(_feature_rows(spark, lake, results, as_of, span=False))
-    forest = models.pipeline(train, models.risk_forest(numTrees=trees)).fit(train)
+    regressor = models.risk_forest(numTrees=trees)
+    forest = models.pipeline(regressor)
     boosting = models.boosting_pipeline(
         models.state_codes(train, test), models.risk_boosting(maxIter=rounds)
-    ).fit(train)
-    return _scored({"forest": forest, "boosting": boosting}, test)
+    )
+    found = models.cross_validated(forest, train, models.grid_points(regressor, grid), folds)
+    fitted = {"forest": forest.fit(train), "boosting": boosting.fit(train), "searched": found}
+    return {
+        **_scored(fitted, test),
+        "forest_cross_validation": _errors(spark, models.cross_validated(forest, train, folds=folds)),
+        "search_points": _errors(spark, found),
+    }
 
 
 def readmission_results(
-    spark: SparkSession, lake: str, results: str, as_of: str, trees: int = 100, rounds: int = 100
+    spark: SparkSession,
+    lake: str,
+    results: str,
+    as_of: str,
+    trees: int = 100,
+    rounds: int = 100,
+    folds: int = models.FOLDS,
+    grid: dict = models.GRID,
 ) -> dict[str, DataFrame]:
+    """As `risk_results`, for a share of the patients; boosting is cross-validated too."""
     rows = _feature_rows(spark, lake, results, as_of, span=True)
     train, test = models.hold_out_share(rows)
-    forest = models.pipeline(train, models.readmission_forest(numTrees=trees)).fit(train)
-    boosting = models.pipeline(train, models.readmission_boosting(maxIter=rounds)).fit(train)
-    return _scored({"forest": forest, "boosting": boosting}, test)
+    regressor = models.readmission_forest(numTrees=trees)
+    forest = models.pipeline(regressor)
+    boosting = models.pipeline(models.readmission_boosting(maxIter=rounds))
+    found = models.cross_validated(forest, train, models.grid_points(regressor, grid), folds)
+    fitted = {"forest": forest.fit(train), "boosting": boosting.fit(train), "searched": found}
+    checked = {"forest": forest, "boosting": boosting}
+    return {
+        **_scored(fitted, test),
+        **{
+            f"{name}_cross_validation": _errors(spark, models.cross_validated(e, train, folds=folds))
+            for name, e in checked.items()
+        },
+        "search_points": _errors(spark, found),
+    }
+
+
+def _errors(spark: SparkSession, found) -> DataFrame:
+    """The mean squared error of each point of a validation, its parameters as text, the best one marked."""
+    errors = [float(mse) for mse in found.avgMetrics]
+    best = min(errors)
+    points = [
+        (", ".join(sorted(f"{p.name}={v}" for p, v in point.items())), mse, mse == best)
+        for point, mse in zip(found.getEstimatorParamMaps(), errors)
+    ]
+    return spark.createDataFrame(points, "parameters string, mse double, best boolean")
 
 
 def _scored(fitted: dict, test: DataFrame) -> dict[str, DataFrame]:
@@ -179,9 +226,9 @@ def main(job: str, source: str, target: str, as_of: str | None = None) -> None:
         flatten_job(spark, source, target)
         return
     if job == "encounter-csv":
-        results = {_directory(t): r for t, r in csv_results(spark, source).items()}
+        results = {_directory(t): r for t, r in csv_results(spark, source, target).items()}
     elif job == "cost":
-        results = cost_results(spark, source, as_of)
+        results = cost_results(spark, source, target, as_of)
     elif job == "disparity":
         results = disparity_results(spark, source, target, as_of)
     elif job == "risk":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def cells(
@@ -17,8 +17,8 @@ def cells(
 
 
 def with_share(totals: DataFrame, amount: str, into: str = "share") -> DataFrame:
-    """Part of the grand total. For tables of report size: the window holds every row."""
-    grand = F.sum(amount).over(Window.partitionBy())
+    """Part of the grand total, which is a one-row aggregate of its own: no task holds all rows."""
+    grand = totals.agg(F.sum(amount)).scalar()
     return totals.withColumn(into, F.try_divide(F.col(amount), grand))
 
 
@@ -32,11 +32,9 @@ def box_numbers(values: DataFrame, column: str) -> DataFrame:
     of outliers of a column. Meant for distinct values of a small domain, such as ages: the exact
     percentile keeps one counter per distinct value.
     """
-    everything = Window.partitionBy()
     quarters = F.array(*map(F.lit, (0.25, 0.5, 0.75)))
-    ranked = values.select(
-        F.col(column).alias("v"), F.percentile(column, quarters).over(everything).alias("q")
-    )
+    found = values.agg(F.percentile(column, quarters)).scalar()
+    ranked = values.select(F.col(column).alias("v"), found.alias("q"))
     at = [F.col("q")[i] for i in range(3)]
     reach = (at[2] - at[0]) * 1.5
     judged = ranked.select(

@@ -63,7 +63,8 @@ def encounter_view(encounter: DataFrame) -> DataFrame:
 
 def one_row_each(view: DataFrame) -> DataFrame:
     """Undo the fan-out of a flat table: the view holds only fields of the document itself, so its
-    copies are equal. Pass the result in place of the view for totals that count a claim once."""
+    copies are equal. A report on such views still joins each claim with every encounter of its patient;
+    what it leaves out is the repetition of documents, not that of the join."""
     return view.distinct()
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from carelake.functions import codes
 from carelake.operators.joins import counted, mean_of
@@ -14,6 +14,7 @@ from carelake.operators.shapes import box_numbers, cells, top
 LONGEST_STAY = 86400
 LONG_STAY = 1440
 
+# Columns of the encounter table that the reports leave out.
 CARE_GIVER_COLUMNS = (
     "service_provider_id",
     "service_provider_display",
@@ -297,19 +298,33 @@ def category_totals(eob: DataFrame, weights: DataFrame) -> DataFrame:
     """Weighted sums of the reported lines per category and patient, with the demographics: what the
     reports on amounts are summed from.
 
-    Lines are labelled, filtered and summed per benefit before the first shuffle, then per patient,
-    and only then meet the demographics.
+    One pass over the benefits: the first line of a row, or its absence, counts the row, so that lines
+    that are not reported stay, without a category, until the rows of their benefit are counted. Lines
+    are summed per benefit before the first shuffle, then per patient, and only then meet the
+    demographics.
     """
-    lines = reported_lines(adjudication_lines(eob)).withColumn(
-        "patient_reference", codes.bare_key(F.col("patient_reference"))
+    lines = eob.filter("eob_id is not null").select(
+        "eob_id",
+        codes.bare_key(F.col("patient_reference")).alias("patient_reference"),
+        F.posexplode_outer("adjudication").alias("place", "line"),
     )
-    by_benefit = lines.groupBy("eob_id", "patient_reference", "category_display").agg(
-        F.sum("value").alias("amount"), F.count("value").alias("amounts")
+    coding = F.get(F.col("line.category.coding"), F.lit(0))
+    label = codes.category_label(coding["display"])
+    by_benefit = (
+        lines.withColumns(
+            {
+                "category_display": F.when(~label.isin(*codes.UNREPORTED_CATEGORIES), label),
+                "value": F.col("line.amount.value"),
+                "opens": F.coalesce("place", F.lit(0)) == 0,
+            }
+        )
+        .groupBy("eob_id", "patient_reference", "category_display")
+        .agg(F.sum("value").alias("amount"), F.count("value").alias("amounts"), F.count_if("opens").alias("rows"))
     )
-    rows = counted(eob, "eob_id", into="eob_rows")
     n = F.col("eob_rows")
     by_patient = (
-        by_benefit.join(rows, "eob_id")
+        by_benefit.withColumn("eob_rows", F.sum("rows").over(Window.partitionBy("eob_id")))
+        .filter("category_display is not null")
         .groupBy("patient_reference", "category_display")
         .agg(F.sum(F.col("amount") * n).alias("amount"), F.sum(F.col("amounts") * n).alias("amounts"))
     )

@@ -144,5 +144,12 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def all_reports(rows: DataFrame) -> dict[str, DataFrame]:
-    return {title: report(rows) for title, report in REPORTS.items()}
+#: The reports that count ages to a year.
+DATED = (ages, encounters_by_age, claim_cost_by_age)
+
+
+def all_reports(rows: DataFrame, year: int = DEFAULT_AS_OF) -> dict[str, DataFrame]:
+    return {
+        title: report(rows, year) if report in DATED else report(rows)
+        for title, report in REPORTS.items()
+    }

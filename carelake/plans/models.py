@@ -5,7 +5,6 @@ Training stays on the executors. The driver sees fitted parameters and metrics o
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -26,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from carelake.plans.features import KEY
 
 LABEL = "label"
+# The features of the models.
 NUMERIC = (
     "total_healthcare_cost",
     "age",
@@ -52,18 +52,9 @@ GRID = {
 }
 
 
-def settled(features: DataFrame) -> DataFrame:
-    """The features, computed once and kept in the shared checkpoint folder: fitting passes over them
-    many times, and a lost executor must not mean aggregating the lake again."""
-    context = features.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = features.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="carelake-")
-        context.setCheckpointDir(folder)
-    return features.checkpoint()
+#: Levels of the risk forest, at most: trees live in the driver, and on noisy labels deeper ones would
+#: grow with the rows.
+RISK_DEPTH = 12
 
 
 # --- hold-out and folds ---------------------------------------------------------------------------
@@ -113,37 +104,35 @@ def numeric_stages(columns: Sequence[str] = NUMERIC, into: str = "numeric") -> l
     ]
 
 
-def most_frequent(train: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict[str, object]:
-    """The most frequent value of each column; columns of few distinct values."""
-    return train.agg(*(F.mode(c, deterministic=True).alias(c) for c in columns)).first().asDict()
-
-
-def _literal(value: object) -> str:
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def categorical_stages(modes: dict[str, object]) -> list:
+def categorical_stages(columns: Sequence[str] = CATEGORICAL) -> list:
     """The most frequent value for missing ones, then a 0/1 column per value. A value not seen in
-    training has 0 in all of them."""
-    filled = ", ".join(
-        f"coalesce(cast({c} as string), {_literal(v)}) as {c}_filled" for c, v in modes.items()
-    )
-    indexed, coded = [f"{c}_index" for c in modes], [f"{c}_coded" for c in modes]
+    training has 0 in all of them. All is learned when the stages are fitted, so once per fold."""
+    text = ", ".join(f"cast({c} as string) as {c}_text" for c in columns)
+    # Values are numbered by frequency, so a missing one takes the first number.
+    filled = ", ".join(f"if({c}_text is null, 0.0D, {c}_index) as {c}_filled" for c in columns)
     return [
-        SQLTransformer(statement=f"select *, {filled} from __THIS__"),
-        # "keep" gives unseen values an index of their own, the last, which the encoder leaves out.
+        SQLTransformer(statement=f"select *, {text} from __THIS__"),
+        # "keep" gives unseen values a number beyond those of training, which the encoder leaves out.
         StringIndexer(
-            inputCols=[f"{c}_filled" for c in modes], outputCols=indexed, handleInvalid="keep"
+            inputCols=[f"{c}_text" for c in columns],
+            outputCols=[f"{c}_index" for c in columns],
+            handleInvalid="keep",
+        ),
+        SQLTransformer(statement=f"select *, {filled} from __THIS__"),
+        OneHotEncoder(
+            inputCols=[f"{c}_filled" for c in columns],
+            outputCols=[f"{c}_coded" for c in columns],
+            handleInvalid="keep",
+            dropLast=True,
         ),
-        OneHotEncoder(inputCols=indexed, outputCols=coded, dropLast=True),
     ]
 
 
-def preparation(modes: dict[str, object]) -> list:
-    coded = [f"{c}_coded" for c in modes]
+def preparation() -> list:
+    coded = [f"{c}_coded" for c in CATEGORICAL]
     return [
         *numeric_stages(),
-        *categorical_stages(modes),
+        *categorical_stages(),
         VectorAssembler(inputCols=["numeric", *coded], outputCol="features"),
     ]
 
@@ -161,8 +150,8 @@ def state_codes(train: DataFrame, test: DataFrame) -> StringIndexerModel:
 
 
 def risk_forest(**settings) -> RandomForestRegressor:
-    """Trees as deep as the data asks for, on all features."""
-    defaults = dict(numTrees=100, maxDepth=30, featureSubsetStrategy="all")
+    """Trees of up to RISK_DEPTH levels on all features; `maxDepth` up to 30 is a setting."""
+    defaults = dict(numTrees=100, maxDepth=RISK_DEPTH, featureSubsetStrategy="all")
     return RandomForestRegressor(labelCol=LABEL, seed=SEED, **{**defaults, **settings})
 
 
@@ -183,8 +172,8 @@ def readmission_boosting(**settings) -> GBTRegressor:
     return GBTRegressor(labelCol=LABEL, seed=SEED, **{**defaults, **settings})
 
 
-def pipeline(train: DataFrame, regressor) -> Pipeline:
-    return Pipeline(stages=[*preparation(most_frequent(train)), regressor])
+def pipeline(regressor) -> Pipeline:
+    return Pipeline(stages=[*preparation(), regressor])
 
 
 def boosting_pipeline(codes: StringIndexerModel, regressor) -> Pipeline:

@@ -29,6 +29,18 @@ def write_table(table: DataFrame, lake: str, name: str) -> None:
     table.write.mode("overwrite").parquet(f"{lake}/{name}")
 
 
+def kept(table: DataFrame, path: str, name: str) -> DataFrame:
+    """A shared intermediate as a table of its own: computed once, and there after a lost executor."""
+    write_table(table, path, name)
+    return read_table(table.sparkSession, path, name)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`; unset, one inside the warehouse, which is shared too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_kept"
+
+
 def read_encounter_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Header and types from the file. With a `schema` the pass that infers types is left out."""
     if schema:

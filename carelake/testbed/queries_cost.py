@@ -121,7 +121,7 @@ def _(lake: Lake):
 
 
 @query(
-    "c05_cost_by_encounter_type_counted_once",
+    "c05_cost_by_encounter_type_of_distinct_rows",
     f"""SELECT type_text, {AVERAGE} AS avg_cost, {TOTAL} AS total_cost,
           count(total_amount) AS num_encounters FROM {ONCE} GROUP BY 1""",
     money=MONEY,
@@ -143,7 +143,7 @@ def _(lake: Lake):
 
 
 @query(
-    "c06_cost_by_provider_counted_once",
+    "c06_cost_by_provider_of_distinct_rows",
     f"""SELECT {PROVIDER} AS service_provider_display, {AVERAGE} AS avg_cost, {TOTAL} AS total_cost,
           count(total_amount) AS num_encounters FROM {ONCE} GROUP BY 1""",
     money=MONEY,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from carelake.plans import features, models
+from carelake.sources import tables
 from carelake.testbed import star
 from carelake.testbed.book import Lake, query
 
@@ -25,8 +28,13 @@ MONEY = ("total_healthcare_cost", "total_claim_amount")
 
 
 def _features(lake: Lake, span: bool = False):
-    tables = {name: lake.table(name) for name in FEATURE_TABLES}
-    return features.feature_table(tables, star.AS_OF, span=span)
+    sources = {name: lake.table(name) for name in FEATURE_TABLES}
+    return features.feature_table(sources, star.AS_OF, span=span)
+
+
+def _settled(rows):
+    """The features as a table, as the jobs keep them: fitting passes over them many times."""
+    return tables.kept(rows, tables.shared_folder(rows.sparkSession), f"features-{uuid.uuid4().hex}")
 
 
 @query("m01_chronic_flag", "SELECT patient_id, has_chronic_conditions FROM feat")
@@ -144,7 +152,7 @@ def _scaled(column: str) -> str:
     f"SELECT patient_id, {', '.join(_scaled(c) for c in models.NUMERIC)} FROM feat",
 )
 def _(lake: Lake):
-    rows = models.settled(_features(lake))
+    rows = _settled(_features(lake))
     scaled = Pipeline(stages=models.numeric_stages()).fit(rows).transform(rows)
     numbers = scaled.select("patient_id", vector_to_array("numeric").alias("n"))
     return numbers.select(
@@ -160,8 +168,7 @@ def _(lake: Lake):
 )
 def _(lake: Lake):
     rows = lake.table("patient").select("patient_id", "state")
-    modes = models.most_frequent(rows, ["state"])
-    coded = Pipeline(stages=models.categorical_stages(modes)).fit(rows).transform(rows)
+    coded = Pipeline(stages=models.categorical_stages(["state"])).fit(rows).transform(rows)
     # The 0/1 columns are in order of frequency: the place of the 1.
     place = F.array_position(vector_to_array("state_coded"), F.lit(1.0)) - 1
     return coded.select("patient_id", place.alias("state_place"))
@@ -177,32 +184,51 @@ def _(lake: Lake):
     return numbered.select("patient_id", F.col("state_code").cast("long").alias("state_code"))
 
 
+@query(
+    "m23_metrics_of_a_fixed_score",
+    """SELECT round(avg(e) + 1e-9, 4) AS mse, round(1 - avg(e) / var_pop(label) + 1e-9, 4) AS r2
+       FROM (SELECT label, (label - age / 100.0::DOUBLE) * (label - age / 100.0::DOUBLE) AS e FROM feat)""",
+)
+def _(lake: Lake):
+    scored = _features(lake).select("label", (F.col("age") / 100.0).alias("prediction"))
+    return models.metrics(scored)
+
+
+@query(
+    "m24_folds",
+    """SELECT patient_id, ('0x' || substr(md5('43:' || patient_id), 1, 8))::BIGINT % 5 AS fold FROM patient""",
+)
+def _(lake: Lake):
+    return models.with_fold(lake.table("patient").select("patient_id"))
+
+
 # --- models: no SQL --------------------------------------------------------------------------------
-# Rounds, trees and grid points are parameters; here they are few, and the rows are all of them.
+# Forests have their full number of trees. Boosting, cross-validation and search have few rounds, trees
+# and points, which are parameters; the rows are all of them.
 
 
 def _split(lake: Lake):
-    rows = models.settled(_features(lake))
+    rows = _settled(_features(lake))
     return rows, *models.hold_out_share(rows)
 
 
 @query("m17_forest_scores")
 def _(lake: Lake):
-    rows = models.settled(_features(lake))
+    rows = _settled(_features(lake))
     train, test = models.hold_out_rows(rows)
-    return models.scores(models.pipeline(train, models.risk_forest(numTrees=20)).fit(train), test)
+    return models.scores(models.pipeline(models.risk_forest()).fit(train), test)
 
 
 @query("m18_readmission_forest_scores")
 def _(lake: Lake):
     _, train, test = _split(lake)
-    forest = models.readmission_forest(numTrees=20)
-    return models.scores(models.pipeline(train, forest).fit(train), test)
+    forest = models.readmission_forest()
+    return models.scores(models.pipeline(forest).fit(train), test)
 
 
 @query("m20_boosting_scores")
 def _(lake: Lake):
-    rows = models.settled(_features(lake))
+    rows = _settled(_features(lake))
     train, test = models.hold_out_rows(rows)
     boosting = models.risk_boosting(maxIter=10, stepSize=0.1)
     fitted = models.boosting_pipeline(models.state_codes(train, test), boosting).fit(train)
@@ -213,20 +239,20 @@ def _(lake: Lake):
 def _(lake: Lake):
     _, train, test = _split(lake)
     boosting = models.readmission_boosting(maxIter=5, maxDepth=5)
-    return models.scores(models.pipeline(train, boosting).fit(train), test)
+    return models.scores(models.pipeline(boosting).fit(train), test)
 
 
 @query("m23_metrics")
 def _(lake: Lake):
     _, train, test = _split(lake)
-    forest = models.readmission_forest(numTrees=20)
-    return models.metrics(models.scores(models.pipeline(train, forest).fit(train), test))
+    forest = models.readmission_forest()
+    return models.metrics(models.scores(models.pipeline(forest).fit(train), test))
 
 
 @query("m24_cross_validated_mse")
 def _(lake: Lake):
     rows, _, _ = _split(lake)
-    estimator = models.pipeline(rows, models.readmission_forest(numTrees=5, maxDepth=5))
+    estimator = models.pipeline(models.readmission_forest(numTrees=5, maxDepth=5))
     found = models.cross_validated(estimator, rows)
     scored = models.scores(found, rows)
     return models.metrics(scored).select(
@@ -239,7 +265,7 @@ def _(lake: Lake):
     _, train, test = _split(lake)
     forest = models.readmission_forest(maxDepth=5)
     values = {"numTrees": (3, 6), "featureSubsetStrategy": ("sqrt", "log2")}
-    estimator = models.pipeline(train, forest)
+    estimator = models.pipeline(forest)
     found = models.cross_validated(estimator, train, models.grid_points(forest, values), folds=2)
     best = models.best_parameters(found, values)
     return models.metrics(models.scores(found, test)).select(

@@ -150,8 +150,10 @@ def _(lake: Lake):
 # --- S12 -----------------------------------------------------------------------------------------
 
 PROFILED = (
-    "encounter_id status type_text start_time end_time service_provider_display"
-    " participant_type_code".split()
+    "encounter_id status type_text start_time end_time patient_reference service_provider_id"
+    " service_provider_display participant_individual_display participant_individual_reference"
+    " participant_period_start participant_period_end participant_type_code"
+    " participant_type_display".split()
 )
 
 
@@ -166,7 +168,7 @@ PROFILED = (
     ),
 )
 def _(lake: Lake):
-    return profile.profile(lake.table("encounter"), "class_code", PROFILED)
+    return profile.profile(lake.table("encounter"), "class_code")
 
 
 VARYING = " UNION ALL ".join(
@@ -184,7 +186,7 @@ VARYING = " UNION ALL ".join(
         FROM ({VARYING}) GROUP BY class_code""",
 )
 def _(lake: Lake):
-    found = profile.profile(lake.table("encounter"), "class_code", PROFILED)
+    found = profile.profile(lake.table("encounter"), "class_code")
     lists = profile.column_lists(found, "class_code")
     return lists.select(
         "class_code",
@@ -201,7 +203,7 @@ def _(lake: Lake):
     ),
 )
 def _(lake: Lake):
-    return profile.distinct_counts(lake.table("encounter"), "class_code", PROFILED)
+    return profile.distinct_counts(lake.table("encounter"), "class_code")
 
 
 @query(

@@ -30,7 +30,7 @@ def test_csv_types(spark, sf_dir, csv_file):
 
 
 def test_csv_reports_from_the_file(spark, sf_dir, csv_file, tmp_path):
-    results = jobs.csv_results(spark, csv_file)
+    results = jobs.csv_results(spark, csv_file, str(tmp_path))
     assert list(results) == list(reports.REPORTS) and len(results) == 18
     made = reports.all_reports(star.encounter_csv(spark, sf_dir))
     for title in ("Age Distribution", "Average Encounter Costs", "Most Frequent Procedures", "Frequent Encounter Reasons"):
@@ -53,7 +53,7 @@ def lake(spark, sf_dir, tmp_path_factory):
 
 
 def test_cost_job(spark, lake, tmp_path):
-    tables.write_results(jobs.cost_results(spark, lake, AS_OF), str(tmp_path))
+    tables.write_results(jobs.cost_results(spark, lake, str(tmp_path), AS_OF), str(tmp_path))
     by_type = tables.read_table(spark, str(tmp_path), "cost_by_encounter_type")
     full = tables.read_table(spark, lake, "claim").join(
         tables.read_table(spark, lake, "encounter"), "patient_reference", "left"
@@ -73,9 +73,15 @@ def test_disparity_job(spark, lake, tmp_path):
 
 
 def test_risk_and_readmission_jobs(spark, lake, tmp_path):
-    risk = jobs.risk_results(spark, lake, str(tmp_path / "risk"), AS_OF, trees=5, rounds=3)
+    small = dict(trees=5, rounds=3, folds=2, grid={"maxDepth": (0, 4), "numTrees": (3,)})
+    risk = jobs.risk_results(spark, lake, str(tmp_path / "risk"), AS_OF, **small)
     assert risk["forest_scores"].count() == risk["boosting_scores"].count() == 5
-    again = jobs.readmission_results(spark, lake, str(tmp_path / "again"), AS_OF, trees=5, rounds=3)
+    again = jobs.readmission_results(spark, lake, str(tmp_path / "again"), AS_OF, **small)
+    for results in (risk, again):
+        points = {r.parameters: r.best for r in results["search_points"].collect()}
+        assert points == {"maxDepth=0, numTrees=3": False, "maxDepth=4, numTrees=3": True}
+        assert results["forest_cross_validation"].first().mse < 0.2
+    assert risk["searched_scores"].count() == 5 and again["boosting_cross_validation"].count() == 1
     assert again["forest_metrics"].first().r2 > 0.5
 
 

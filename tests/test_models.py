@@ -8,10 +8,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from carelake.plans import features, models
+from carelake.sources import tables
 
 
 @pytest.fixture(scope="module")
-def people(spark):
+def people(spark, tmp_path_factory):
     """400 patients; the label follows from num_claims."""
     df = spark.range(400).select(
         F.concat(F.lit("p"), "id").alias("patient_id"),
@@ -22,7 +23,7 @@ def people(spark):
         *(((F.col("id") * (i + 3)) % 17).cast("double").alias(c) for i, c in enumerate(models.NUMERIC) if c != "num_claims"),
         (F.col("id") * 7 % 40).cast("double").alias("num_claims"),
     )
-    return models.settled(df)
+    return tables.kept(df, str(tmp_path_factory.mktemp("people")), "features")
 
 
 def test_hold_out(people):
@@ -47,13 +48,13 @@ def test_hold_out(people):
 def test_pipelines_learn(people, make, settings):
     regressor = make(**settings)
     train, test = models.hold_out_share(people)
-    fitted = models.pipeline(train, regressor).fit(train)
+    fitted = models.pipeline(regressor).fit(train)
     scored = models.scores(fitted, test)
     measured = models.metrics(scored).first()
     assert measured.r2 > 0.5
     for name in ("mse", "r2"):
         assert abs(measured[name] - RegressionEvaluator(labelCol="label", metricName=name).evaluate(scored)) < 1e-9
-    assert rows(scored) == rows(models.scores(models.pipeline(train, regressor).fit(train), test))
+    assert rows(scored) == rows(models.scores(models.pipeline(regressor).fit(train), test))
 
 
 def test_boosting_on_plain_columns(people):
@@ -64,6 +65,14 @@ def test_boosting_on_plain_columns(people):
     assert models.metrics(models.scores(fitted, test)).first().r2 > 0.5
 
 
+def test_scores_of_a_known_threshold(people):
+    """With every value a bin and all features in each split, a score above a half is the label."""
+    train, test = models.hold_out_share(people)
+    forest = models.risk_forest(numTrees=100, maxBins=64)
+    scored = models.scores(models.pipeline(forest).fit(train), test)
+    assert scored.count() > 0 and scored.filter("(prediction > 0.5) <> (label = 1)").count() == 0
+
+
 def test_defaults(spark):
     assert models.risk_boosting().getMaxIter() == 1000 and models.risk_boosting().getStepSize() == 0.01
     assert models.risk_forest().getNumTrees() == models.readmission_forest().getNumTrees() == 100
@@ -73,9 +82,7 @@ def test_defaults(spark):
 def test_missing_and_unseen(spark):
     train = spark.createDataFrame([("a", "ON", 1.0), ("b", "ON", 3.0), ("c", "QC", None), ("d", None, 100.0)], "patient_id string, state string, n double")
     new = spark.createDataFrame([("e", "BC", None), ("f", None, 2.0), ("g", "QC", 2.0)], "patient_id string, state string, n double")
-    modes = models.most_frequent(train, ["state"])
-    assert modes == {"state": "ON"}
-    coded = Pipeline(stages=models.categorical_stages(modes)).fit(train).transform(new)
+    coded = Pipeline(stages=models.categorical_stages(["state"])).fit(train).transform(new)
     got = rows(coded.select("patient_id", vector_to_array("state_coded")))
     assert got == [("e", [0.0, 0.0]), ("f", [1.0, 0.0]), ("g", [0.0, 1.0])]
     numbers = Pipeline(stages=models.numeric_stages(["n"])).fit(train).transform(new)
@@ -84,11 +91,22 @@ def test_missing_and_unseen(spark):
 
 def test_cross_validation_and_search(people):
     regressor = models.readmission_forest(numTrees=3)
-    found = models.cross_validated(models.pipeline(people, regressor), people, folds=3)
+    # One tree of depth 0 without resampling predicts the mean of the folds it learned from.
+    stump = models.readmission_forest(numTrees=1, maxDepth=0, bootstrap=False)
+    error = models.cross_validated(models.pipeline(stump), people, folds=3).avgMetrics[0]
+    folded = [(r.fold, r.label) for r in models.with_fold(people, 3).select("fold", "label").collect()]
+    wanted = []
+    for k in range(3):
+        inside = [y for f, y in folded if f == k]
+        learned = [y for f, y in folded if f != k]
+        mean = sum(learned) / len(learned)
+        wanted.append(sum((y - mean) ** 2 for y in inside) / len(inside))
+    assert abs(error - sum(wanted) / 3) < 1e-9
+    found = models.cross_validated(models.pipeline(regressor), people, folds=3)
     assert len(found.avgMetrics) == 1 and found.avgMetrics[0] < 0.2
     values = {"maxDepth": (1, 6), "minInstancesPerNode": (2,)}
     grid = models.grid_points(regressor, values)
-    found = models.cross_validated(models.pipeline(people, regressor), people, grid, folds=2)
+    found = models.cross_validated(models.pipeline(regressor), people, grid, folds=2)
     assert models.best_parameters(found, values) == {"maxDepth": 6, "minInstancesPerNode": 2}
 
 

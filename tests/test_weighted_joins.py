@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import codes
 from carelake.plans import cost, disparity as d
+from carelake.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -121,6 +122,25 @@ def test_mean_values(benefit_tables, keys):
     assert rows(d.mean_values(totals, *keys)) == rows(wanted)
 
 
+def test_totals_read_the_benefits_once(benefit_tables, tmp_path):
+    eob, patients, encounters = benefit_tables
+    kept = tables.kept(eob, str(tmp_path), "benefits")
+    weights = d.patient_weights(d.without_outliers(encounters), patients)
+    plan = d.category_totals(kept, weights)._jdf.queryExecution().optimizedPlan().toString()
+    alone = weights._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [eob_id") == 1 and plan.count("Join ") == alone.count("Join ") + 1
+
+
+def test_benefits_without_lines_or_id(benefit_tables, spark):
+    eob, patients, encounters = benefit_tables
+    usual = d.without_outliers(encounters)
+    odd = eob.withColumn("adjudication", F.expr("if(hash(eob_id) % 2 = 0, null, adjudication)"))
+    odd = odd.unionByName(eob.withColumn("eob_id", F.lit(None).cast("string")))
+    full = d.reported_lines(full_lines(odd, patients, usual))
+    wanted = full.groupBy("category_display").agg(F.avg("value").alias("avg_value"))
+    assert rows(d.mean_values(d.category_totals(odd, d.patient_weights(usual, patients)))) == rows(wanted)
+
+
 def test_durations(benefit_tables):
     _, patients, encounters = benefit_tables
     known = encounters.join(patients, F.col("patient_reference") == F.col("patient_id"))
