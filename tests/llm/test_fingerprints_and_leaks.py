@@ -2,9 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from carelake.llm import decontam, spotsigs
+from carelake.llm import common, decontam, spotsigs
 from tests.llm.data import ODD, odd_documents, prose, words
 
 
@@ -91,3 +92,39 @@ def test_leaks_take_odd_rows(spark):
         assert kept.columns == docs.columns and kept.count() == len(ODD)
     assert decontam.found(docs.limit(0), benchmark).count() == 0
     assert decontam.clean(docs.limit(0), benchmark).count() == 0
+
+
+def test_paraphrases_spread_over_more_words_than_a_segment_has_are_found():
+    r = random.Random(11)
+    items = [words(7000 + i, 50 + i % 15) for i in range(40)]
+    rows, wanted = [], set()
+    for i in range(120):
+        item, share = items[i % 40], r.uniform(0.6, 0.75)
+        body = []
+        for w in item[:-6]:
+            body += [w] if r.random() < share else []
+            while r.random() < 0.52:  # words put in
+                body.append(r.choice(words(i, 50)))
+        body += item[-6:]
+        own = words(8000 + i, 300)
+        own[150:150] = body
+        rows.append(own)
+        if len(body) <= 2 * len(item) and leaked(item, body):
+            wanted.add((i, i % 40))
+    hashed = [common.word_hashes(pa.array([" ".join(x)]))[0].view(np.int64).tolist() for x in items]
+    texts = pa.array([" ".join(x) for x in rows])
+    counts = np.zeros(decontam.TERMS + 1)
+    for x in decontam._frequencies([pa.RecordBatch.from_arrays([texts], ["text"])]):
+        counts[x.column(0).to_numpy()] = x.column(1).to_numpy()
+    idf = np.log((1 + counts[-1]) / (1 + counts[:-1])).astype(np.float32)
+    random_ = np.random.default_rng(2).standard_normal((decontam.TERMS, decontam.RANK)).astype(np.float32)
+    sums = np.zeros((decontam.TERMS, decontam.RANK))
+    for own in (texts, pa.array([" ".join(x) for x in items])):
+        for x in decontam._products(idf, random_)([pa.RecordBatch.from_arrays([own], ["text"])]):
+            y = np.frombuffer(b"".join(x.column("y").to_pylist()), np.float32).reshape(decontam.TERMS, -1)
+            sums += y / np.linalg.norm(y) * (decontam.FAVOUR if own is not texts else 1)
+    basis, _ = np.linalg.qr(sums)
+    space = decontam.Space(idf, (basis * idf[:, None]).astype(np.float32))
+    search = decontam.Search(space, decontam.Segments(hashed, list(range(40)), [x[-6:] for x in hashed], list(range(40))))
+    found = {(i, item) for i, own in enumerate(search.of(texts)) for item in own}
+    assert len(wanted) > 100 and wanted <= found
