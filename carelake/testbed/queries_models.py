@@ -203,8 +203,7 @@ def _(lake: Lake):
 
 
 # --- models: no SQL --------------------------------------------------------------------------------
-# Forests have their full number of trees. Boosting, cross-validation and search have few rounds, trees
-# and points, which are parameters; the rows are all of them.
+# All have the full numbers of rounds, trees, levels, points and folds that `models` documents, on all rows.
 
 
 def _split(lake: Lake):
@@ -230,7 +229,7 @@ def _(lake: Lake):
 def _(lake: Lake):
     rows = _settled(_features(lake))
     train, test = models.hold_out_rows(rows)
-    boosting = models.risk_boosting(maxIter=10, stepSize=0.1)
+    boosting = models.risk_boosting()
     fitted = models.boosting_pipeline(models.state_codes(train, test), boosting).fit(train)
     return models.scores(fitted, test)
 
@@ -238,7 +237,7 @@ def _(lake: Lake):
 @query("m21_readmission_boosting_scores")
 def _(lake: Lake):
     _, train, test = _split(lake)
-    boosting = models.readmission_boosting(maxIter=5, maxDepth=5)
+    boosting = models.readmission_boosting()
     return models.scores(models.pipeline(boosting).fit(train), test)
 
 
@@ -252,7 +251,7 @@ def _(lake: Lake):
 @query("m24_cross_validated_mse")
 def _(lake: Lake):
     rows, _, _ = _split(lake)
-    estimator = models.pipeline(models.readmission_forest(numTrees=5, maxDepth=5))
+    estimator = models.pipeline(models.readmission_forest())
     found = models.cross_validated(estimator, rows)
     scored = models.scores(found, rows)
     return models.metrics(scored).select(
@@ -263,11 +262,9 @@ def _(lake: Lake):
 @query("m25_grid_search")
 def _(lake: Lake):
     _, train, test = _split(lake)
-    forest = models.readmission_forest(maxDepth=5)
-    values = {"numTrees": (3, 6), "featureSubsetStrategy": ("sqrt", "log2")}
-    estimator = models.pipeline(forest)
-    found = models.cross_validated(estimator, train, models.grid_points(forest, values), folds=2)
-    best = models.best_parameters(found, values)
+    forest = models.readmission_forest()
+    found = models.cross_validated(models.pipeline(forest), train, models.grid_points(forest))
+    best = models.best_parameters(found)
     return models.metrics(models.scores(found, test)).select(
         *(F.lit(str(v)).alias(f"best_{k}") for k, v in best.items()), "mse", "r2"
     )

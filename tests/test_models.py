@@ -4,11 +4,14 @@ import pytest
 from conftest import rows
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from carelake.plans import features, models
 from carelake.sources import tables
+from carelake.testbed import book, queries_models
 
 
 @pytest.fixture(scope="module")
@@ -145,3 +148,42 @@ def test_no_row_is_lost_to_a_missing_key(spark):
     assert [t.count() for t in models.hold_out_rows(people.limit(0))] == [0, 0]
     with pytest.raises(ValueError):
         models.hold_out_share(people, 1.5)
+
+
+@pytest.mark.parametrize(
+    "name, rounds, trees, points",
+    [
+        ("m20_boosting_scores", (1000, 0.01, 6), None, None),
+        ("m21_readmission_boosting_scores", (100, 0.3, 10), None, None),
+        ("m24_cross_validated_mse", None, (100, 10), 1),
+        ("m25_grid_search", None, (100, 10), 54),
+    ],
+)
+def test_queries_fit_the_documented_numbers(spark, sf_dir, monkeypatch, name, rounds, trees, points):
+    """The estimators that the queries would fit, seen where fitting begins."""
+
+    class Seen(Exception):
+        pass
+
+    def fit(self, rows, params=None):
+        raise Seen(self)
+
+    monkeypatch.setattr(Pipeline, "fit", fit)
+    monkeypatch.setattr(CrossValidator, "fit", fit)
+    monkeypatch.setattr(queries_models, "_features", lambda lake: None)
+    monkeypatch.setattr(queries_models, "_settled", lambda rows: None)
+    for split in ("hold_out_rows", "hold_out_share"):
+        monkeypatch.setattr(models, split, lambda rows: (None, None))
+    monkeypatch.setattr(models, "with_fold", lambda rows, folds: rows)
+    monkeypatch.setattr(models, "state_codes", lambda *_: StringIndexerModel.from_labels(["ON"], "state", "state_code"))
+    with pytest.raises(Seen) as seen:
+        book.QUERIES[name](spark, sf_dir)
+    estimator = seen.value.args[0]
+    if points:
+        assert len(estimator.getEstimatorParamMaps()) == points and estimator.getNumFolds() == 5
+        estimator = estimator.getEstimator()
+    regressor = estimator.getStages()[-1]
+    if rounds:
+        assert (regressor.getMaxIter(), regressor.getStepSize(), regressor.getMaxDepth()) == rounds
+    else:
+        assert (regressor.getNumTrees(), regressor.getMaxDepth()) == trees
