@@ -1,8 +1,8 @@
 """Secret scan: rules, and a linear-chain conditional random field that tags tokens as secret begin, inside, outside.
 
 The rules (`RULES`) find leftmost non-overlapping matches per kind; their spans always stay. The random
-field learns from them: segments of `SEGMENT` tokens around the rules' values in about `FIT_DOCUMENTS`
-documents chosen by a hash, and as many from texts without one, at most `FIT_SEGMENTS` of each. Its
+field learns from them: of all documents the distinct segments of `SEGMENT` tokens around the rules' values,
+and the distinct ones from texts without a value, the `FIT_SEGMENTS` of each with the least hash. Its
 features are a token's shape and length, the words and shapes around it, and how much of the file is
 digits and assignments. Tags are decoded by Viterbi over the runs of tokens that are not outside beyond
 doubt (`SURE`); a decoded span of `SHORTEST` characters or more that touches no span of the rules is added
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ RULES = (
 )
 KINDS = ("assign", "access", "hex", "crf")
 
-SEGMENT, FIT_DOCUMENTS, FIT_SEGMENTS, ROUNDS = 32, 20_000, 3_000, 60
+SEGMENT, FIT_SEGMENTS, ROUNDS = 32, 3_000, 60
 SURE, SHORTEST, CAUTION = 6.0, 8, 2.0
 BEGIN, INSIDE, OUTSIDE = range(3)
 
@@ -227,53 +228,85 @@ def train(places: np.ndarray, tags: np.ndarray, mask: np.ndarray, rounds: int =
     return Field(weights, steps + forbidden)
 
 
-def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments around the values of the rules, and one from each text without any."""
-    for part in common.slices(batches):
-        data, offsets = common.utf8(part.column("text"))
-        starts, ends, firsts = tokens(data, offsets)
-        if not len(starts):
+class _Least:
+    """The distinct segments with the least keys, `most` of them."""
+
+    def __init__(self, most: int):
+        self.most, self.bound, self.rows = most, 1 << 63, {}
+
+    def add(self, places: np.ndarray, tags: np.ndarray) -> None:
+        places, tags = places.astype(np.int32), tags.astype(np.int32)
+        key = int.from_bytes(blake2b(places.tobytes() + tags.tobytes(), digest_size=8).digest(), "little", signed=True)
+        if key < self.bound:
+            self.rows[key] = places, tags
+            if len(self.rows) > 2 * self.most:
+                self.cut()
+
+    def cut(self) -> None:
+        kept = sorted(self.rows)[: self.most]
+        if len(kept) == self.most and kept:
+            self.bound = kept[-1]
+        self.rows = {k: self.rows[k] for k in kept}
+
+
+def _examples(most: int):
+    """Segments around the values of the rules, and one from each text without any: of a task's distinct ones of
+    either sort the `most` with the least keys, among which are its own of the least over all tasks."""
+
+    def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = {True: _Least(most), False: _Least(most)}
+        for part in common.slices(batches):
+            _add_examples(part, least)
+        for secret, own in least.items():
+            own.cut()
+            for keys in np.array_split(np.array(list(own.rows), np.int64), -(-len(own.rows) // 1000) or 1):
+                rows = [own.rows[k] for k in keys.tolist()]
+                columns = [pa.array([secret] * len(rows), pa.bool_()), pa.array(keys)]
+                columns += [pa.array([r[i] for r in rows], pa.list_(pa.int32())) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["secret", "key", "places", "tags"])
+
+    return of
+
+
+def _add_examples(part: pa.RecordBatch, least: dict[bool, _Least]) -> None:
+    data, offsets = common.utf8(part.column("text"))
+    starts, ends, firsts = tokens(data, offsets)
+    if not len(starts):
+        return
+    places = features(data, starts, ends, firsts)
+    for i, text in enumerate(part.column("text").to_pylist()):
+        a, b = int(firsts[i]), int(firsts[i + 1])
+        if a == b:
             continue
-        places = features(data, starts, ends, firsts)
-        rows: dict[str, list] = {"secret": [], "places": [], "tags": []}
-        for i, text in enumerate(part.column("text").to_pylist()):
-            a, b = int(firsts[i]), int(firsts[i + 1])
-            if a == b:
-                continue
-            tags = np.full(b - a, OUTSIDE)
-            raw = data[offsets[i] : offsets[i + 1]]
-            found = rule_matches(text)
-            for *_, value, end in found:
-                if text.isascii():
-                    low, high = value, end
-                else:
-                    low, high = (len(text[:x].encode()) for x in (value, end))
-                inside = np.flatnonzero((starts[a:b] - offsets[i] >= low) & (ends[a:b] - offsets[i] <= high))
-                if len(inside):
-                    tags[inside] = INSIDE
-                    tags[inside[0]] = BEGIN
-            begins = np.flatnonzero(tags == BEGIN)
-            middles = begins if len(begins) else [] if found else [int(raw.astype(np.int64).sum()) * 7919 % (b - a)]
-            for m in middles:
-                low = max(0, min(int(m) - SEGMENT // 2, b - a - SEGMENT))
-                high = min(low + SEGMENT, b - a)
-                own = tags[low:high].copy()
-                if own[0] == INSIDE:
-                    own[0] = BEGIN
-                rows["secret"].append(bool(len(begins)))
-                rows["places"].append(places[a + low : a + high].ravel())
-                rows["tags"].append(own)
-        columns = [pa.array(rows["secret"], pa.bool_()), *(pa.array(rows[c], pa.list_(pa.int64())) for c in ("places", "tags"))]
-        yield pa.RecordBatch.from_arrays(columns, ["secret", "places", "tags"])
-
-
-def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS, fit_segments: int = FIT_SEGMENTS) -> Field | None:
-    """The random field learned from the rules' matches; None where the sample has none."""
+        tags = np.full(b - a, OUTSIDE)
+        raw = data[offsets[i] : offsets[i + 1]]
+        found = rule_matches(text)
+        if found and not text.isascii():
+            chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # the bytes where characters begin
+        for *_, value, end in found:
+            low, high = (value, end) if text.isascii() else chars[[value, end]]
+            first = int(np.searchsorted(starts[a:b], offsets[i] + low))
+            last = int(np.searchsorted(ends[a:b], offsets[i] + high, "right"))
+            if first < last:
+                tags[first:last] = INSIDE
+                tags[first] = BEGIN
+        begins = np.flatnonzero(tags == BEGIN)
+        middles = begins if len(begins) else [] if found else [int(raw.astype(np.int64).sum()) * 7919 % (b - a)]
+        for m in middles:
+            low = max(0, min(int(m) - SEGMENT // 2, b - a - SEGMENT))
+            high = min(low + SEGMENT, b - a)
+            own = tags[low:high].copy()
+            if own[0] == INSIDE:
+                own[0] = BEGIN
+            least[bool(len(begins))].add(places[a + low : a + high].ravel(), own)
+
+
+def fit(docs: DataFrame, fit_segments: int = FIT_SEGMENTS) -> Field | None:
+    """The random field learned from the rules' matches; None where there are none."""
     texts = docs.filter(F.col("text").isNotNull()).select(F.col("text").cast("string").alias("text"))
-    share = min(1.0, fit_documents / max(docs.count(), 1))
-    texts = texts if share == 1 else texts.filter(F.abs(F.hash("text")) < share * 2**31)
-    found = texts.mapInArrow(_examples, "secret boolean, places array<long>, tags array<long>")
-    kinds = [found.filter(kind).orderBy(F.xxhash64("places"), "tags").limit(fit_segments) for kind in ("secret", "not secret")]
+    found = texts.mapInArrow(_examples(fit_segments), "secret boolean, key long, places array<int>, tags array<int>")
+    found = common.staged(found.dropDuplicates(["secret", "key"]))
+    kinds = [found.filter(kind).orderBy("key").limit(fit_segments) for kind in ("secret", "not secret")]
     rows = kinds[0].union(kinds[1]).collect()
     if not any(r["secret"] for r in rows):
         return None

@@ -92,3 +92,19 @@ def _small():
 def test_licenses_are_found_by_their_own_texts(spark):
     names = [t.name for group in licenses.templates().values() for t in group]
     assert names and len(set(names)) == len(names)
+
+
+def test_the_field_learns_from_distinct_segments(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secret_scan, "train", lambda places, tags, mask: seen.append((places, tags)))
+    rows = [planted(0)] * 200 + [planted(i) for i in range(1, 60)] + [prose(9, 80)] * 200 + [prose(i, 80) for i in range(10, 40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string").repartition(6)
+    secret_scan.fit(docs)
+    places, tags = seen[0]
+    assert len({p.tobytes() + t.tobytes() for p, t in zip(places, tags)}) == len(places)
+    labelled = sum(bool((t == secret_scan.BEGIN).any()) for t in tags)
+    assert labelled >= 40 and len(tags) - labelled >= 31
+    # the bound is one of distinct segments, the same ones however the rows are dealt
+    secret_scan.fit(docs, fit_segments=20)
+    secret_scan.fit(docs.repartition(2), fit_segments=20)
+    assert len(seen[1][0]) == 40 and (seen[1][0] == seen[2][0]).all() and (seen[1][1] == seen[2][1]).all()
