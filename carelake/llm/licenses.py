@@ -7,12 +7,16 @@ template of which it holds 80 %. There are `BANDS` bands of one row; the chance
 shingles that the window holds must be `CONTAINED` or more.
 
 Shingles are of five words; templates with less than five words, of three. Overlapping finds of a template are
-one. Defined results: NULL, empty and wordless texts have no finds; equal texts have equal finds. Positions
+one; copies that follow each other, told by the order of the template's shingles, are looked at one by one. Where
+templates share most of the words they match, the one that accounts for the most shingles, less those that it
+lacks, stays, so that no close sibling and no notice inside a longer text is reported in its place. The templates are common
+notices and headers (`TEMPLATES`) and whole license texts (`TEXTS`). Defined results: NULL, empty and wordless texts have no finds; equal texts have equal finds. Positions
 are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
+import pkgutil
 from dataclasses import dataclass
 from functools import cache
 
@@ -25,8 +29,32 @@ from carelake.llm import common
 
 BANDS, CONTAINED, WORDS, SHORT_WORDS = 48, 0.8, 5, 3
 
+
+def _gnu(name: str, work: str, version: str, free: str = "free software:") -> str:
+    """The header of the GNU licenses."""
+    return (
+        f"This {work} is {free} you can redistribute it and/or modify it under the terms of the {name} as published by the"
+        f" Free Software Foundation, {version}. This {work} is distributed in the hope that it will be useful, but WITHOUT"
+        " ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the"
+        f" {name} for more details."
+    )
+
+
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+    " the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,"
+    " this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the"
+    " above copyright notice, this list of conditions and the following disclaimer in the documentation and/or"
+    " other materials provided with the distribution."
+)
+_BSD_3 = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission."
+)
+
 # Notices by which works state their license, by identifier.
 TEMPLATES = {
+    "agpl-3.0-header": _gnu("GNU Affero General Public License", "program", "either version 3 of the License, or (at your option) any later version"),
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": (
@@ -36,29 +64,40 @@ TEMPLATES = {
         ' distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.'
         " See the License for the specific language governing permissions and limitations under the License."
     ),
-    "bsd-2-clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
-        " the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,"
-        " this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the"
-        " above copyright notice, this list of conditions and the following disclaimer in the documentation and/or"
-        " other materials provided with the distribution."
+    "bsd-2-clause": _BSD_2,
+    "bsd-3-clause": _BSD_2 + _BSD_3,
+    "bsd-disclaimer": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,'
+        " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+        " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+        " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR"
+        " SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,"
+        " WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE"
+        " USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
     ),
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
-        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
-        " option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY"
-        " WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the"
-        " GNU General Public License for more details."
+    "cc0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to"
+        " this software to the public domain worldwide. This software is distributed without any warranty."
     ),
+    "gpl-2.0-header": _gnu("GNU General Public License", "program", "either version 2 of the License, or (at your option) any later version", "free software;"),
+    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-3.0-header": _gnu("GNU General Public License", "program", "either version 3 of the License, or (at your option) any later version"),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
         " granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
+    "lgpl-2.1-header": _gnu("GNU Lesser General Public License", "library", "either version 2.1 of the License, or (at your option) any later version", "free software;"),
+    "lgpl-3.0-header": _gnu("GNU Lesser General Public License", "program", "either version 3 of the License, or (at your option) any later version"),
     "mit": "Released under the MIT License.",
+    "mit-disclaimer": (
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE'
+        " WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR"
+        " COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR"
+        " OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "mit-text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
         ' documentation files (the "Software"), to deal in the Software without restriction, including without'
@@ -74,6 +113,9 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: The whole texts beside this file, reported as NAME-text.
+TEXTS = ("apache-2.0", "cc0-1.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "mpl-2.0")
+
 _rng = np.random.Generator(np.random.PCG64(6))
 _FACTORS = _rng.integers(0, 2**64, BANDS, np.uint64) | np.uint64(1)
 _TERMS = _rng.integers(0, 2**64, BANDS, np.uint64)
@@ -89,19 +131,34 @@ class Template:
     half: int
     shingles: np.ndarray
     least: np.ndarray
+    order: np.ndarray
+
+    def copies(self, places: np.ndarray, own: np.ndarray) -> list[tuple[np.ndarray, float]]:
+        """The copies of the template among its shingles at these places, with their shares."""
+        order = self.order[np.searchsorted(self.shingles, own)]
+        told = np.flatnonzero(order >= 0)
+        back = told[1:][np.diff(order[told]) < -max(1, len(self.shingles) // 2)]
+        found = []
+        for part in np.split(np.arange(len(own)), back):
+            share = len(np.unique(own[part])) / len(self.shingles)
+            if share >= CONTAINED:
+                found.append((places[part], share))
+        share = len(np.unique(own)) / len(self.shingles)
+        return found or ([(places, share)] if share >= CONTAINED else [])
 
 
 @cache
 def templates() -> dict[int, list[Template]]:
     """The templates by their number of words to a shingle."""
     out: dict[int, list[Template]] = {}
-    for name, text in TEMPLATES.items():
+    texts = {f"{name}-text": pkgutil.get_data("carelake.llm", f"license_texts/{name}.txt").decode() for name in TEXTS}
+    for name, text in (TEMPLATES | texts).items():
         hashes, firsts = common.word_hashes(pa.array([text]))
         k = WORDS if len(hashes) >= WORDS else SHORT_WORDS
-        own = np.unique(common.shingles(hashes, firsts, k)[0])
+        own, first, times = np.unique(common.shingles(hashes, firsts, k)[0], return_index=True, return_counts=True)
         half = 1 << (len(own) - 1).bit_length()
         least = np.array([_values(own, b).min() for b in range(BANDS)])
-        out.setdefault(k, []).append(Template(name, half, own, least))
+        out.setdefault(k, []).append(Template(name, half, own, least, np.where(times == 1, first, -1)))
     return out
 
 
@@ -146,35 +203,52 @@ def retrieved(hashes: np.ndarray, at: np.ndarray, wanted: list[Template]) -> lis
     return out
 
 
+def _best(spans: list) -> list:
+    """Without the finds of which others, that account for more shingles less those lacking, match half the words."""
+    low = min(int(f[4][0]) for f in spans)
+    taken, kept = np.zeros(max(int(f[4][-1]) + f[1] for f in spans) - low, bool), []
+    for span in sorted(spans, key=lambda f: (-f[2] * (2 * f[3] - 1), f[0], f[4][0])):
+        own = np.unique(span[4][:, None] + np.arange(span[1])) - low
+        if 2 * taken[own].sum() < len(own):
+            taken[own] = True
+            kept.append(span)
+    return kept
+
+
 def finds(column: pa.Array) -> list[list[tuple[str, float, int, int]]]:
     """For each text the licenses found: name, share of the template, start and end, by start and name."""
     data, starts, ends, firsts = common.word_spans(column)
     hashes = common.span_hashes(common.prefix_hashes(data), starts, ends)
     out: list[list[tuple[str, float, int, int]]] = [[] for _ in range(len(column))]
     texts = common.utf8(common.pc.utf8_lower(column))[1]
+    # for each document: the template's name, its shingles, the share and the first words of the shingles matched
+    found: dict[int, list[tuple[str, int, int, float, np.ndarray]]] = {}
     for k, wanted in templates().items():
         shingles, at = common.shingles(hashes, firsts, k)
-        best: dict[tuple[int, str], list[list]] = {}
+        best: dict[tuple[int, str], list[tuple[str, int, int, float, np.ndarray]]] = {}
         for t, low, high in retrieved(shingles, at, wanted):
-            own = shingles[low:high]
-            inside = np.flatnonzero(np.isin(own, t.shingles))
-            share = len(np.unique(own[inside])) / len(t.shingles) if len(inside) else 0.0
-            if share < CONTAINED:
+            inside = np.flatnonzero(np.isin(shingles[low:high], t.shingles))
+            if len(inside) < CONTAINED * len(t.shingles):
                 continue
             doc = int(np.searchsorted(at, low, "right")) - 1
-            first = int(firsts[doc] + low + inside[0] - at[doc])
-            last = min(int(firsts[doc] + low + inside[-1] - at[doc]) + k, int(firsts[doc + 1])) - 1
-            spans = best.setdefault((doc, t.name), [])
-            if spans and spans[-1][2] > starts[first]:
-                spans[-1][0] = max(spans[-1][0], share)
-                spans[-1][2] = max(spans[-1][2], int(ends[last]))
-            else:
-                spans.append([share, int(starts[first]), int(ends[last])])
-        for (doc, name), spans in best.items():
-            raw = data[texts[doc] : texts[doc + 1]]
-            for share, a, b in spans:
-                low, high = (int(((raw[: x - texts[doc]] & 0xC0) != 0x80).sum()) for x in (a, b))
-                out[doc].append((name, share, low, high))
+            for places, share in t.copies(firsts[doc] + low + inside - at[doc], shingles[low + inside]):
+                spans = best.setdefault((doc, t.name), [])
+                i = len(spans)  # those of the window before may come again
+                while i and spans[i - 1][4][0] > places[-1]:
+                    i -= 1
+                j = i
+                while i and spans[i - 1][4][-1] >= places[0]:
+                    i -= 1
+                    places, share = np.union1d(spans[i][4], places), max(share, spans[i][3])
+                spans[i:j] = [(t.name, k, len(t.shingles), share, places)]
+        for (doc, _), spans in best.items():
+            found.setdefault(doc, []).extend(spans)
+    for doc, spans in found.items():
+        raw = data[texts[doc] : texts[doc + 1]]
+        for name, k, _, share, places in _best(spans):
+            a, b = starts[places[0]], ends[min(int(places[-1]) + k, int(firsts[doc + 1])) - 1]
+            low, high = (int(((raw[: x - texts[doc]] & 0xC0) != 0x80).sum()) for x in (a, b))
+            out[doc].append((name, share, low, high))
     return [sorted(own, key=lambda f: (f[2], f[0])) for own in out]
 
 

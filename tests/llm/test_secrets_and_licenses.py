@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from carelake.llm import licenses, secret_scan
@@ -108,3 +109,19 @@ def test_the_field_learns_from_distinct_segments(spark, monkeypatch):
     secret_scan.fit(docs, fit_segments=20)
     secret_scan.fit(docs.repartition(2), fit_segments=20)
     assert len(seen[1][0]) == 40 and (seen[1][0] == seen[2][0]).all() and (seen[1][1] == seen[2][1]).all()
+
+
+def test_siblings_are_told_apart():
+    texts = licenses.TEMPLATES | {f"{n}-text": licenses.pkgutil.get_data("carelake.llm", f"license_texts/{n}.txt").decode() for n in licenses.TEXTS}
+    names = list(texts)
+    around = [f"é{prose(i, 30)}. {texts[n]} {prose(i + 1, 30)}" for i, n in enumerate(names)]
+    for name, text, own in zip(names, around, licenses.finds(pa.array(around)), strict=True):
+        assert [f[0] for f in own] == [name]
+        assert own[0][1] == 1.0
+    # one after the other, each has its own find
+    pairs = [("bsd-3-clause", "bsd-2-clause"), ("gpl-2.0-header", "gpl-3.0-header"), ("isc", "isc"), ("lgpl-2.1-header", "agpl-3.0-header")]
+    after = [f"{texts[a]} {prose(3, 12)} {texts[b]}" for a, b in pairs]
+    for pair, own in zip(pairs, licenses.finds(pa.array(after)), strict=True):
+        assert [f[0] for f in own] == list(pair)
+    many = licenses.finds(pa.array([f"{texts['mit']} {prose(5, 2)} " * 50 + f"{texts['isc']} " * 7]))[0]
+    assert [f[0] for f in many] == ["mit"] * 50 + ["isc"] * 7
