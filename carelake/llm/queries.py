@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import chat, common, decontam, langid, licenses, mixing, ngram_join, quality, secret_scan, spotsigs, suffix_dedup
+from carelake.llm import centroids, chat, common, decontam, langid, licenses, mixing, ngram_join, quality, secret_scan, spotsigs, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +161,42 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.identified(docs.select("doc_id", "text"), langid.fit(langid.learnable(docs)))
     held_out = (common.crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out")
     return out.select("doc_id", held_out, "lang_pred", "score")
+
+
+def _clustering_sql() -> str:
+    parts = [
+        """v AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k, e FROM v
+            ORDER BY sha256('2:' || vec_id) LIMIT 40)""",
+    ]
+    for r in range(6):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (
+            SELECT vec_id, v.e, min(list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i]))) * 64 + k) AS best
+            FROM v, c{r} c GROUP BY vec_id, v.e)"""
+        )
+        if r < 5:
+            parts.append(
+                f"""c{r + 1} AS MATERIALIZED (
+            SELECT c.k, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN (
+                SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e FROM (
+                    SELECT best % 64 AS k, i, sum(x) AS s, count(*) AS n
+                    FROM (SELECT best, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM a{r}) GROUP BY best % 64, i
+                ) GROUP BY k) m ON m.k = c.k)"""
+            )
+    return (
+        "WITH "
+        + ", ".join(parts)
+        + """ SELECT vec_id, CAST(best % 64 AS INTEGER) AS cluster, CAST(best // 64 AS BIGINT) AS distance,
+            CAST(sum(best // 64) OVER (PARTITION BY best % 64) AS BIGINT) AS cluster_inertia,
+            CAST(sum(best // 64) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c5.e, ',')) AS centroid_sha256
+        FROM a5 JOIN c5 ON c5.k = best % 64"""
+    )
+
+
+@query(_clustering_sql())
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, found = centroids.clustered(common.table(spark, sf_dir, "embeddings"))
+    return out.withColumn("centroid_sha256", centroids.digests(found))
