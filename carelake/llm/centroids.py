@@ -74,11 +74,13 @@ def clustered(
         return none, centroids
     for _ in range(rounds):
         centroids = moved(points, centroids)
-    near = nearest(centroids)
-    out = common.staged(points.select("vec_id", near.alias("near")).select("vec_id", "near.cluster", "near.distance"))
-    inertia = out.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))  # one row for each centroid
-    total = inertia.agg(F.sum("cluster_inertia").alias("inertia"))
-    return out.join(F.broadcast(inertia.crossJoin(total)), "cluster").select("vec_id", *(c for c, _ in _RESULT)), centroids
+    out = points.select("vec_id", nearest(centroids).alias("near"))
+    out = common.staged(out.select("vec_id", "near.cluster", "near.distance"))
+    sums = dict.fromkeys(range(len(centroids)), 0)
+    sums |= {r["cluster"]: r["n"] for r in out.groupBy("cluster").agg(F.sum("distance").alias("n")).collect()}
+    own = F.element_at(F.array(*(F.lit(n).cast("long") for n in sums.values())), F.col("cluster") + 1)
+    total = F.lit(sum(sums.values())).cast("long")
+    return out.withColumns({"cluster_inertia": own, "inertia": total}), centroids
 
 
 _RESULT = (("cluster", "int"), ("distance", "long"), ("cluster_inertia", "long"), ("inertia", "long"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import centroids, chat, common, decontam, langid, licenses, mixing, ngram_join, quality, secret_scan, spotsigs, suffix_dedup
+from carelake.llm import centroids, chat, common, decontam, langid, licenses, mixing, ngram_join, quality, secret_scan, spelling, spotsigs, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -200,3 +200,42 @@ def _clustering_sql() -> str:
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, found = centroids.clustered(common.table(spark, sf_dir, "embeddings"))
     return out.withColumn("centroid_sha256", centroids.digests(found))
+
+
+@query(
+    r"""
+    WITH RECURSIVE step8 AS (
+        SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c
+        FROM (SELECT unnest(range(256)) AS b)
+    ), crc AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM step8),
+    runs AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+    lowered AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n FROM runs GROUP BY ALL
+    ), hexed AS (SELECT w, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM lowered),
+    hashed AS (
+        SELECT w, n, xor(list_reduce(list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+        FROM hexed, crc
+    ), typed AS (
+        SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed
+    ), words AS MATERIALIZED (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+    ), skips AS MATERIALIZED (
+        SELECT word, n, unnest(range(length(word))) AS i, substr(word, 1, i) AS a, substr(word, i + 2) AS z FROM words
+    ), near AS (
+        SELECT x.word, y.word AS other, y.n AS m FROM skips x JOIN skips y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+        UNION SELECT x.word, w.word, w.n FROM skips x JOIN words w ON w.word = x.a || x.z
+        UNION SELECT w.word, x.word, x.n FROM skips x JOIN words w ON w.word = x.a || x.z
+    ), best AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS other, max(m) AS m FROM near GROUP BY word),
+    forms AS MATERIALIZED (
+        SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+        FROM words LEFT JOIN best USING (word)
+    ), chain AS (
+        SELECT word, word AS root, 0 AS steps FROM forms
+        UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+    )
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word) USING (word)
+    """
+)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(common.table(spark, sf_dir, "documents")))
