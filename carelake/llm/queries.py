@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import centroids, chat, common, decontam, langid, licenses, mixing, ngram_join, quality, secret_scan, spelling, spotsigs, suffix_dedup
+from carelake.llm import centroids, chat, common, decontam, disclosure, langid, licenses, mixing, ngram_join, quality, secret_scan, spelling, spotsigs, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -239,3 +239,18 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(common.table(spark, sf_dir, "documents")))
+
+
+@query()
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.scanned(common.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    counts = [of(kind) for kind in disclosure.KINDS]
+    return found.select("doc_id", *counts[:-1], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), counts[-1])
