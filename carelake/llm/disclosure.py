@@ -41,8 +41,9 @@ PATTERNS = {
 }
 KINDS = (*PATTERNS, "term")
 TERM = len(PATTERNS)
-#: What is not part of a term: the patterns, of cards only those with enough digits.
-MASK = "|".join(p if k != "card" else r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,}+" for k, p in PATTERNS.items())
+_ADDRESS = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+#: What is not part of a term: the patterns, addresses with those that follow at once, cards with enough digits.
+MASK = rf"(?<![A-Za-z0-9._%+-])(?:{_ADDRESS})++|{PATTERNS['ip']}|(?<![0-9])[0-9](?:[\x20-]?[0-9]){{12,}}+|{PATTERNS['phone']}"
 WORD = r"[\p{L}\p{N}]{2,}"
 _LETTER = r"[\p{L}\p{N}]"
 CONTEXT, SUPPORT, DISCLOSURE, GENERAL = 100, 3, 0.9, 3
