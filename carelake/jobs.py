@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carelake.operators import flatten
 from carelake.plans import cost, disparity, encounter_csv, features, models
@@ -150,15 +150,15 @@ def risk_results(
     train, test = models.hold_out_rows(_feature_rows(spark, lake, results, as_of, span=False))
     regressor = models.risk_forest(numTrees=trees)
     forest = models.pipeline(regressor)
-    boosting = models.boosting_pipeline(
-        models.state_codes(train, test), models.risk_boosting(maxIter=rounds)
-    )
-    found = models.cross_validated(forest, train, models.grid_points(regressor, grid), folds)
-    fitted = {"forest": forest.fit(train), "boosting": boosting.fit(train), "searched": found}
+    boosted = models.risk_boosted_scores(train, test, f"{results}/_boosting", rounds=rounds)
+    boosted = tables.kept(boosted, results, "_boosted")
+    found = models.searched(regressor, train, f"{results}/_search", grid, folds)
     return {
-        **_scored(fitted, test),
+        **_scored({"forest": forest.fit(train), "searched": found.model}, test),
+        "boosting_scores": boosted,
+        "boosting_metrics": models.metrics(boosted),
         "forest_cross_validation": _errors(spark, models.cross_validated(forest, train, folds=folds)),
-        "search_points": _errors(spark, found),
+        "search_points": _points(found),
     }
 
 
@@ -178,8 +178,8 @@ def readmission_results(
     regressor = models.readmission_forest(numTrees=trees)
     forest = models.pipeline(regressor)
     boosting = models.pipeline(models.readmission_boosting(maxIter=rounds))
-    found = models.cross_validated(forest, train, models.grid_points(regressor, grid), folds)
-    fitted = {"forest": forest.fit(train), "boosting": boosting.fit(train), "searched": found}
+    found = models.searched(regressor, train, f"{results}/_search", grid, folds)
+    fitted = {"forest": forest.fit(train), "boosting": boosting.fit(train), "searched": found.model}
     checked = {"forest": forest, "boosting": boosting}
     return {
         **_scored(fitted, test),
@@ -187,10 +187,21 @@ def readmission_results(
             f"{name}_cross_validation": _errors(spark, models.cross_validated(e, train, folds=folds))
             for name, e in checked.items()
         },
-        "search_points": _errors(spark, found),
+        "search_points": _points(found),
     }
 
 
+def _points(found: models.Search) -> DataFrame:
+    """As `_errors`, for a search."""
+    points = found.points()
+    names = sorted(found.best)
+    text = F.concat_ws(", ", *(F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in names))
+    best = F.lit(True)
+    for n in names:
+        best = best & (F.col(n) == F.lit(found.best[n]))
+    return points.select(text.alias("parameters"), "mse", best.alias("best"))
+
+
 def _errors(spark: SparkSession, found) -> DataFrame:
     """The mean squared error of each point of a validation, its parameters as text, the best one marked."""
     errors = [float(mse) for mse in found.avgMetrics]

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from carelake.plans import features, models
+from carelake.plans import features, models, trees
 from carelake.sources import tables
 from carelake.testbed import star
 from carelake.testbed.book import Lake, query
@@ -37,6 +37,10 @@ def _settled(rows):
     return tables.kept(rows, tables.shared_folder(rows.sparkSession), f"features-{uuid.uuid4().hex}")
 
 
+def _folder(lake: Lake, name: str) -> str:
+    return f"{tables.shared_folder(lake.spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query("m01_chronic_flag", "SELECT patient_id, has_chronic_conditions FROM feat")
 def _(lake: Lake):
     flagged = features.with_chronic_flag(lake.table("patient"), lake.table("condition"))
@@ -229,9 +233,7 @@ def _(lake: Lake):
 def _(lake: Lake):
     rows = _settled(_features(lake))
     train, test = models.hold_out_rows(rows)
-    boosting = models.risk_boosting()
-    fitted = models.boosting_pipeline(models.state_codes(train, test), boosting).fit(train)
-    return models.scores(fitted, test)
+    return models.risk_boosted_scores(train, test, _folder(lake, "boosting"))
 
 
 @query("m21_readmission_boosting_scores")
@@ -262,9 +264,21 @@ def _(lake: Lake):
 @query("m25_grid_search")
 def _(lake: Lake):
     _, train, test = _split(lake)
-    forest = models.readmission_forest()
-    found = models.cross_validated(models.pipeline(forest), train, models.grid_points(forest))
-    best = models.best_parameters(found)
-    return models.metrics(models.scores(found, test)).select(
-        *(F.lit(str(v)).alias(f"best_{k}") for k, v in best.items()), "mse", "r2"
+    found = models.searched(models.readmission_forest(), train, _folder(lake, "search"))
+    return models.metrics(models.scores(found.model, test)).select(
+        *(F.lit(str(v)).alias(f"best_{k}") for k, v in found.best.items()), "mse", "r2"
     )
+
+
+@query(
+    "m17_scores_from_nodes",
+    "SELECT patient_id, true AS same FROM feat WHERE substr(md5('42:' || patient_id), 1, 8) < '33333333'",
+)
+def _(lake: Lake):
+    """The forest's own scores against those from its table of nodes."""
+    _, train, test = _split(lake)
+    fitted = models.pipeline(models.risk_forest()).fit(train)
+    nodes = trees.nodes_of(fitted.stages[-1], _folder(lake, "forest"))
+    scored = fitted.transform(test).withColumnRenamed("prediction", "own")
+    scored = trees.forest_scores(scored, nodes, vector_to_array("features"), models.RISK_DEPTH)
+    return scored.select("patient_id", (F.abs(F.col("own") - F.col("prediction")) < 1e-9).alias("same"))

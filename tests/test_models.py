@@ -153,10 +153,8 @@ def test_no_row_is_lost_to_a_missing_key(spark):
 @pytest.mark.parametrize(
     "name, rounds, trees, points",
     [
-        ("m20_boosting_scores", (1000, 0.01, 6), None, None),
         ("m21_readmission_boosting_scores", (100, 0.3, 10), None, None),
         ("m24_cross_validated_mse", None, (100, 10), 1),
-        ("m25_grid_search", None, (100, 10), 54),
     ],
 )
 def test_queries_fit_the_documented_numbers(spark, sf_dir, monkeypatch, name, rounds, trees, points):
@@ -187,3 +185,16 @@ def test_queries_fit_the_documented_numbers(spark, sf_dir, monkeypatch, name, ro
         assert (regressor.getMaxIter(), regressor.getStepSize(), regressor.getMaxDepth()) == rounds
     else:
         assert (regressor.getNumTrees(), regressor.getMaxDepth()) == trees
+
+
+def test_risk_boosting_has_the_documented_numbers(spark, sf_dir, monkeypatch):
+    seen = {}
+
+    def fitted(rows, columns, label, **settings):
+        seen.update(settings)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(models.boosting, "fitted", fitted)
+    with pytest.raises(KeyboardInterrupt):
+        book.QUERIES["m20_boosting_scores"](spark, sf_dir)
+    assert seen == dict(rounds=1000, step=0.01, depth=6)
