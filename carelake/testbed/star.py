@@ -440,10 +440,13 @@ def entries(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rows.selectExpr(f"named_struct('resource', {resource}) as entry")
 
 
-def documents(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Bundle documents as JSON text, one per source row."""
+def documents(spark: SparkSession, sf_dir: str, table: str, partitions: int | None = None) -> DataFrame:
+    """Bundle documents as JSON text, one per source row, dealt evenly over `partitions` (as many as the
+    session's cores unless given), as `read_bundles` deals files: parsing is what takes the time, and a
+    split of the source may hold any number of rows."""
     rows, resource = _resource_rows(spark, sf_dir, table, lambda x: x)
     bundle = f"named_struct('entry', array(named_struct('resource', {resource})))"
+    rows = rows.repartition(partitions or spark.sparkContext.defaultParallelism)
     return rows.selectExpr(f"to_json({bundle}) as document")
 
 
