@@ -1,6 +1,7 @@
 """Whole jobs, from input paths to Parquet results. `run_job.py` starts them:
 
     flatten                                 <bundles> <lake>
+    profile                                 <bundles> <results>
     cost | disparity | risk | readmission   <lake>    <results> [as_of]
     encounter-csv                           <file>    <results>
 
@@ -13,7 +14,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carelake.operators import flatten
+from carelake.operators import flatten, profile
 from carelake.plans import cost, disparity, encounter_csv, features, models
 from carelake.sources import bundles, tables
 
@@ -29,6 +30,14 @@ def flatten_job(spark: SparkSession, source: str, lake: str, partitions: int | N
     tables.write_table(bundles.rejected(staged), lake, bundles.REJECTED)
 
 
+def profile_results(spark: SparkSession, source: str) -> dict[str, DataFrame]:
+    """What the fields of each resource type hold, declared in the schema or not, and the lists of all and of
+    the informative fields of each type. The documents are read as text, once."""
+    documents = spark.read.text(source, wholetext=True)
+    found = profile.resource_profile(bundles.resource_texts(documents, F.col("value")))
+    return {"fields": found, "field_lists": profile.column_lists(found, "resource_type")}
+
+
 def cost_results(spark: SparkSession, lake: str, results: str, as_of: str) -> dict[str, DataFrame]:
     patient, encounter, claim, procedure = (
         tables.read_table(spark, lake, n) for n in ("patient", "encounter", "claim", "procedure")
@@ -225,7 +234,7 @@ def _directory(title: str) -> str:
     return "_".join(title.lower().replace(".", "").split())
 
 
-JOBS = ("flatten", "cost", "disparity", "risk", "readmission", "encounter-csv")
+JOBS = ("flatten", "profile", "cost", "disparity", "risk", "readmission", "encounter-csv")
 
 
 def main(job: str, source: str, target: str, as_of: str | None = None) -> None:
@@ -236,6 +245,11 @@ def main(job: str, source: str, target: str, as_of: str | None = None) -> None:
     if job == "flatten":
         flatten_job(spark, source, target)
         return
+    if job == "profile":
+        results = profile_results(spark, source)
+        results["fields"] = tables.kept(results["fields"], target, "fields")
+        tables.write_table(profile.column_lists(results["fields"], "resource_type"), target, "field_lists")
+        return
     if job == "encounter-csv":
         results = {_directory(t): r for t, r in csv_results(spark, source, target).items()}
     elif job == "cost":

@@ -33,6 +33,13 @@ def entries(bundles: DataFrame) -> DataFrame:
     return bundles.select(F.explode_outer("entry").alias("entry")).filter("entry is not null")
 
 
+def resource_texts(documents: DataFrame, text: Column) -> DataFrame:
+    """`resource`, the JSON text of every resource in bundle documents given as text, whatever its fields."""
+    bundle = F.from_json(text, "entry array<struct<resource: string>>")
+    texts = documents.select(F.explode_outer(bundle["entry"]["resource"]).alias("resource"))
+    return texts.filter("resource is not null")
+
+
 def cached_entries(bundles: DataFrame) -> DataFrame:
     """Entries kept by the executors for several tables. The caller unpersists. Parsing is repeated
     for blocks that are lost; `stage_entries` is the form to use on a large lake."""

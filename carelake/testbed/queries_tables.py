@@ -221,25 +221,65 @@ def _(lake: Lake):
     return rows.select("class_code", "encounter_id", "status", "type_text", "row")
 
 
+PERIOD = "coalesce(start_iso, '') || '/' || coalesce(end_iso, '')"
+PEOPLE = "customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+ORDER = dict(id="o_orderkey", status="o_orderstatus = 'O'", subject="o_custkey", encounter="o_orderkey", period=PERIOD)
+LINE = dict(id="line_key", status="l_linestatus = 'O'", subject="o_custkey", encounter="l_orderkey")
+EVENT = dict(id="event_id", status="1", encounter="event_id")
+ACT = dict(**EVENT, subject="user_id", category="event_type", effectiveDateTime="ts_iso", issued="ts_iso")
+BILL = dict(id="o_orderkey", status="1", use="1", patient="o_custkey", billablePeriod=PERIOD, created="end_iso", type="o_orderkey % 2", provider="o_orderkey % 37", insurance="o_orderpriority", total="o_totalprice")
+#: Per type its rows and, per field, something that is NULL where the field is absent and differs where it does.
+FIELDS = {
+    "Patient": (PEOPLE, dict(
+        id="c_custkey", identifier="c_custkey % 3 = 0", name="c_name", gender="CASE WHEN c_custkey % 50 <> 7 THEN c_custkey % 2 END",
+        birthDate="concat_ws('-', (c_custkey * 37) % 90, c_custkey % 12, c_custkey % 28)",
+        address="concat_ws('-', n_name, r_name, c_custkey % 7 = 0, c_custkey % 180, c_custkey % 1000)", telecom="c_custkey % 10000",
+        maritalStatus="c_custkey % 4", extension="concat_ws('-', c_custkey % 100, n_name, c_acctbal)",
+        multipleBirthBoolean="c_custkey % 11 = 0", communication="c_nationkey % 2")),
+    "Encounter": ("o", {**{k: v for k, v in ORDER.items() if k != "encounter"}, "type": "o_orderpriority", "serviceProvider": "o_orderkey % 370",
+        "participant": f"CASE WHEN (o_orderkey // 4) % 4 > 0 THEN concat_ws('-', (o_orderkey // 4) % 4, o_orderkey % 89, {PERIOD}) END",
+        "class": "o_orderkey % 4"}),
+    "Condition": ("ln", {k: v for k, v in LINE.items() if k != "status"} | dict(
+        clinicalStatus="l_linestatus = 'O'", verificationStatus="1", code="concat_ws('-', p_type, p_name, p_size % 10)",
+        onsetDateTime="ship_iso", recordedDate="ship_iso", abatementDateTime="CASE WHEN l_linestatus <> 'O' THEN ship_iso END")),
+    "MedicationRequest": ("ln", LINE | dict(intent="1", medicationCodeableConcept="p_type || p_name", requester="l_suppkey",
+        authoredOn="ship_iso", dosageInstruction="nullif(l_linenumber % 3, 0)")),
+    "Claim": ("o", BILL | dict(priority="1", supportingInfo="CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey END",
+        diagnosis="CASE WHEN (o_orderkey // 3) % 3 > 0 THEN o_orderkey END", item="o_orderkey")),
+    "ExplanationOfBenefit": ("o", BILL | dict(identifier="o_orderkey", insurer="o_orderpriority", referral="1", claim="o_orderkey", outcome="1",
+        careTeam="o_orderkey % 178", contained="(o_orderkey // 2) % 2", item="concat_ws('-', o_orderkey % 500, cents)", payment="cents * 4 // 5")),
+    "CarePlan": ("o", ORDER | dict(intent="1", category="o_orderpriority", careTeam="o_orderkey", addresses="o_orderkey",
+        activity="CASE WHEN (o_orderkey // 2) % 3 > 0 THEN concat_ws('-', (o_orderkey // 2) % 3, o_orderstatus = 'O', o_orderkey % 37) END")),
+    "CareTeam": ("o", ORDER | dict(participant="concat_ws('-', o_orderkey % 3, o_orderkey % 89)",
+        managingOrganization="CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 37 END")),
+    "Procedure": ("ln", LINE | dict(status="1", code="p_size || p_type", performedPeriod="ship_iso",
+        reasonReference="CASE WHEN l_returnflag <> 'N' THEN line_key END")),
+    "DiagnosticReport": ("ev WHERE event_type IN ('purchase', 'error')", ACT | dict(code="event_id % 7", result="CASE WHEN event_id % 4 > 0 THEN event_id END")),
+    "Immunization": ("ev WHERE event_type = 'signup'", EVENT | dict(vaccineCode="event_id % 9", patient="user_id", primarySource="event_id % 3 > 0", occurrenceDateTime="ts_iso")),
+    "Observation": ("ev WHERE event_type IN ('view', 'click')", ACT | dict(code="event_id % 13", valueQuantity="coalesce(value, -1)")),
+}
+EVERY_FIELD = sorted({f for _, fields in FIELDS.values() for f in fields} | {"resourceType"})
+
+
+def _field_counts(kind: str) -> str:
+    source, fields = FIELDS[kind]
+    fields = {"resourceType": "1"} | fields
+    each = ", ".join(
+        f"{{'f': '{f}', 'c': count({fields.get(f, 'NULL')}), 'd': count(DISTINCT {fields.get(f, 'NULL::INT')})}}" for f in EVERY_FIELD
+    )
+    return f"""SELECT '{kind}' AS resource_type, n AS "rows", unnest(x) AS s FROM (SELECT count(*) AS n, [{each}] AS x FROM {source})"""
+
+
 @query(
     "s12_resource_profile",
-    """SELECT resource_type, "column", sum(n)::BIGINT AS "rows", sum(CASE WHEN v THEN 0 ELSE n END)::BIGINT AS nulls
-       FROM (
-         SELECT 'Claim' AS resource_type, 'diagnosis' AS "column", 1 AS n, (o_orderkey // 3) % 3 > 0 AS v FROM orders
-         UNION ALL SELECT 'Claim', 'supportingInfo', 1, o_orderkey % 3 > 0 FROM orders
-         UNION ALL SELECT 'Claim', 'birthDate', 1, FALSE FROM orders
-         UNION ALL SELECT 'Claim', 'total', 1, TRUE FROM orders
-         UNION ALL SELECT 'Procedure', 'diagnosis', 1, FALSE FROM lineitem
-         UNION ALL SELECT 'Procedure', 'supportingInfo', 1, FALSE FROM lineitem
-         UNION ALL SELECT 'Procedure', 'birthDate', 1, FALSE FROM lineitem
-         UNION ALL SELECT 'Procedure', 'total', 1, FALSE FROM lineitem)
-       GROUP BY 1, 2""",
+    """SELECT resource_type, s.f AS "column", "rows", "rows" - s.c AS nulls, s.c > 0 AS has_value,
+         s.c > 0 AND s.d + CASE WHEN s.c < "rows" THEN 1 ELSE 0 END > 1 AS varies
+       FROM ("""
+    + " UNION ALL ".join(map(_field_counts, FIELDS))
+    + """) WHERE "rows" > 0""",
 )
 def _(lake: Lake):
-    both = lake.parsed("claim").unionByName(lake.parsed("procedure")).select("entry.resource.*")
-    columns = ["diagnosis", "supportingInfo", "birthDate", "total"]
-    found = profile.profile(both, "resourceType", columns)
-    return found.select(F.col("resourceType").alias("resource_type"), "column", "rows", "nulls")
+    return profile.resource_profile(lake.resource_texts())
 
 
 # --- code maps: raw value, label and rows -------------------------------------------------------

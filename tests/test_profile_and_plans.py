@@ -144,3 +144,22 @@ def test_unlisted_genders_have_a_column(spark):
     totals = spark.createDataFrame(rows, "class_code string, age_group string, gender string, minutes double, timed long")
     out = disparity.duration_by_class_age_group_and_gender(totals).first()
     assert (out["female"], out["male"], out["unlisted"]) == (20.0, 0.0, 20.0)
+
+
+def test_resource_profile_sees_undeclared_fields(spark, tmp_path):
+    from carelake import jobs
+
+    texts = [
+        '{"entry": [{"resource": {"resourceType": "A", "id": "1", "odd field": {"x": [1, 2]}, "same": true, "gone": null}}, {"resource": null}]}',
+        '{"entry": [{"resource": {"resourceType": "A", "id": "2", "odd field": {"x": [1, 3]}, "same": true}},\n {"resource": {"id": "3"}}]}',
+        '{"entry": []}', "{}", "not a document", "",
+    ]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.json").write_text(text)
+    results = jobs.profile_results(spark, str(tmp_path))
+    got = {(r.resource_type, r.column): (r.rows, r.nulls, r.has_value, r.varies) for r in results["fields"].collect()}
+    assert got[("A", "odd field")] == (2, 0, True, True) and got[("A", "same")] == (2, 0, True, False)
+    assert got[("A", "gone")] == (2, 2, False, False) and got[("", "id")] == (1, 0, True, False)
+    assert got[("", "odd field")] == (1, 1, False, False) and len(got) == 2 * 5
+    lists = {r.resource_type: r.informative_columns for r in results["field_lists"].collect()}
+    assert lists == {"A": ["id", "odd field"], "": []}
