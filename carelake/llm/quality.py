@@ -12,6 +12,7 @@ score is the share of label 1 among them, 0.5 without any.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +28,8 @@ NAMES = (
 ).split()
 #: Documents the trees are fitted on, at most: those first by a hash of the id.
 MAX_ROWS = 20_000
+#: Levels of a tree.
+DEPTH = 4
 
 
 def _class(chars: str) -> np.ndarray:
@@ -110,7 +113,7 @@ class Trees:
 
 
 def fit_trees(
-    x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, bins: int = 64, rate: float = 0.15, ridge: float = 1.0
+    x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = DEPTH, bins: int = 64, rate: float = 0.15, ridge: float = 1.0
 ) -> Trees:
     """Boosted trees for the log loss: each split is the best of the gradient histograms of all statistics."""
     inner, width = 2**depth - 1, x.shape[1] if x.ndim == 2 else len(NAMES)
@@ -177,11 +180,32 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Trees:
         .orderBy(F.xxhash64("doc_id"), "doc_id", "statistics")
         .limit(max_rows)
         .select("label", "statistics")
-        .collect()
     )
-    if not sample:
+    # max_rows rows at most, in one task: the driver gets the trees alone
+    learned = sample.repartition(1).mapInArrow(_learned, "prior double, feature binary, threshold binary, value binary").collect()
+    if not learned:
         return fit_trees(np.zeros((0, len(NAMES))), np.zeros(0))
-    return fit_trees(np.array([r["statistics"] for r in sample]), np.array([r["label"] for r in sample]))
+    row, shape = learned[0], (-1, 2**DEPTH - 1)
+    return Trees(
+        row["prior"],
+        np.frombuffer(row["feature"], np.int64).reshape(shape),
+        np.frombuffer(row["threshold"]).reshape(shape),
+        np.frombuffer(row["value"]).reshape(-1, 2**DEPTH),
+    )
+
+
+def _learned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The trees of the labelled rows, one row; none without rows."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    x = rows.column("statistics").combine_chunks().flatten().to_numpy().reshape(-1, len(NAMES))
+    y = rows.column("label").to_numpy()
+    order = np.lexsort((*x.T, y))  # sums don't depend on the order in which rows came
+    trees = fit_trees(x[order], y[order])
+    arrays = [pa.array([trees.prior])] + [pa.array([a.tobytes()], pa.binary()) for a in (trees.feature, trees.threshold, trees.value)]
+    yield pa.RecordBatch.from_arrays(arrays, ["prior", "feature", "threshold", "value"])
 
 
 def score_of(text: Column, trees: Trees) -> Column:

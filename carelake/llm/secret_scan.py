@@ -4,8 +4,9 @@ The rules (`RULES`) find leftmost non-overlapping matches per kind; their spans
 field learns from them: of all documents the distinct segments of `SEGMENT` tokens around the rules' values,
 and the distinct ones from texts without a value, the `FIT_SEGMENTS` of each with the least hash. Its
 features are a token's shape and length, the words and shapes around it, and how much of the file is
-digits and assignments. Tags are decoded by Viterbi over the runs of tokens that are not outside beyond
-doubt (`SURE`); a decoded span of `SHORTEST` characters or more that touches no span of the rules is added
+digits and assignments. Segments are learned again with other values and other words around them, so that
+the field also finds values that no rule names. Tags are decoded by Viterbi over the runs of tokens that are
+not outside beyond doubt (`SURE`), with the steps from and to the tokens around them; a decoded span of `SHORTEST` characters or more that touches no span of the rules is added
 as kind `crf`.
 
 Positions are code points of the text, ends exclusive. NULL and empty texts have no spans; equal texts
@@ -42,8 +43,8 @@ RULES = (
 )
 KINDS = ("assign", "access", "hex", "crf")
 
-SEGMENT, FIT_SEGMENTS, ROUNDS = 32, 3_000, 60
-SURE, SHORTEST, CAUTION = 6.0, 8, 2.0
+SEGMENT, FIT_SEGMENTS, ROUNDS, COPIES = 32, 3_000, 100, 2
+SURE, SHORTEST, CAUTION = 6.0, 8, 0.0
 BEGIN, INSIDE, OUTSIDE = range(3)
 
 _ALNUM = np.zeros(256, bool)
@@ -64,6 +65,10 @@ _HASHED, _SHAPES = 1 << 12, 24
 _SIZES = (_SHAPES * 8, 5 * 8, _HASHED, _HASHED, _HASHED, _HASHED, _SHAPES * _SHAPES, 16)
 _BEGINS = np.concatenate(([0], np.cumsum(_SIZES)[:-1]))
 N_FEATURES, N_WEIGHTS = len(_SIZES), sum(_SIZES)
+#: The features that are words nearby.
+_WORDS = (2, 3, 4, 5)
+#: That of the shapes before and after.
+_BESIDE = 6
 
 _SHORT_HEX = re.compile(r"[0-9a-f]{24,}")
 
@@ -156,13 +161,18 @@ class Field:
     def __init__(self, weights: np.ndarray, steps: np.ndarray):
         self.weights, self.steps = weights, steps
 
-    def decode(self, emissions: np.ndarray) -> list[int]:
-        """The best tags of one run of tokens by Viterbi; inside follows begin or inside only."""
+    def decode(self, emissions: np.ndarray, before: bool = False, after: bool = False) -> list[int]:
+        """The best tags of one run of tokens by Viterbi; inside follows begin or inside only. `before` and
+        `after` tell whether tokens that are outside stand there."""
         score, back = emissions[0] + [0, -np.inf, 0], []
+        if before:
+            score = score + self.steps[OUTSIDE]
         for e in emissions[1:]:
             all_ = score[:, None] + self.steps
             back.append(all_.argmax(axis=0))
             score = all_.max(axis=0) + e
+        if after:
+            score = score + self.steps[:, OUTSIDE]
         tags = [int(score.argmax())]
         for b in reversed(back):
             tags.append(int(b[tags[-1]]))
@@ -174,8 +184,9 @@ class Field:
         emissions[:, OUTSIDE] += CAUTION
         open_ = emissions[:, OUTSIDE] - emissions[:, :OUTSIDE].max(axis=1) < SURE
         out = []
-        for a, b in zip(*common.runs(open_, firsts), strict=True):
-            tags = self.decode(emissions[a:b])
+        borders = set(firsts.tolist())
+        for a, b in zip(*(x.tolist() for x in common.runs(open_, firsts)), strict=True):
+            tags = self.decode(emissions[a:b], a not in borders, b not in borders)
             begin = None
             for i, tag in enumerate([*tags, OUTSIDE]):
                 if begin is not None and tag != INSIDE:
@@ -303,19 +314,80 @@ def _add_examples(part: pa.RecordBatch, least: dict[bool, _Least]) -> None:
 
 def fit(docs: DataFrame, fit_segments: int = FIT_SEGMENTS) -> Field | None:
     """The random field learned from the rules' matches; None where there are none."""
+    # 2 * fit_segments rows at most, in one task: the driver gets the weights alone
+    learned = examples(docs, fit_segments).repartition(1).mapInArrow(_trained, "weights binary, steps binary").collect()
+    if not learned:
+        return None
+    return Field(np.frombuffer(learned[0]["weights"]).reshape(N_WEIGHTS, 3), np.frombuffer(learned[0]["steps"]).reshape(3, 3))
+
+
+def examples(docs: DataFrame, fit_segments: int = FIT_SEGMENTS) -> DataFrame:
+    """The distinct segments with and without a value that have the least keys, `fit_segments` of each."""
     texts = docs.filter(F.col("text").isNotNull()).select(F.col("text").cast("string").alias("text"))
     found = texts.mapInArrow(_examples(fit_segments), "secret boolean, key long, places array<int>, tags array<int>")
     found = common.staged(found.dropDuplicates(["secret", "key"]))
     kinds = [found.filter(kind).orderBy("key").limit(fit_segments) for kind in ("secret", "not secret")]
-    rows = kinds[0].union(kinds[1]).collect()
-    if not any(r["secret"] for r in rows):
-        return None
-    places = np.zeros((len(rows), SEGMENT, N_FEATURES), np.int64) + _BEGINS
-    tags, mask = np.full((len(rows), SEGMENT), OUTSIDE), np.zeros((len(rows), SEGMENT))
-    for i, r in enumerate(rows):
-        n = len(r["tags"])
-        places[i, :n], tags[i, :n], mask[i, :n] = np.array(r["places"]).reshape(n, N_FEATURES), r["tags"], 1
-    return train(places, tags, mask)
+    return kinds[0].union(kinds[1])
+
+
+def padded(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, tags and mask of segments, by kind and key, at the same length."""
+    rows = rows.sort_by([("secret", "descending"), ("key", "ascending")])
+    n, (own, marks) = rows.num_rows, (rows.column(c).combine_chunks() for c in ("places", "tags"))
+    places = np.zeros((n, SEGMENT, N_FEATURES), np.int64) + _BEGINS
+    tags, mask = np.full((n, SEGMENT), OUTSIDE), np.zeros((n, SEGMENT))
+    for i in range(n):
+        tag = marks[i].values.to_numpy()
+        places[i, : len(tag)] = own[i].values.to_numpy().reshape(len(tag), N_FEATURES)
+        tags[i, : len(tag)], mask[i, : len(tag)] = tag, 1
+    return places, tags, mask
+
+
+def _random_values(random: np.random.Generator, n: int = 2_000) -> np.ndarray:
+    """The features of shape and of turns between digits and letters of n random strings over usual alphabets."""
+    digits, lower, upper = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    alphabets = (digits + lower, digits + upper, digits + lower + upper, digits + "abcdef", digits + lower + upper + "_")
+    tokens_ = ["".join(random.choice(list(alphabets[i % len(alphabets)]), random.integers(12, 49))) for i in range(n)]
+    data, offsets = common.utf8(pa.array(tokens_, pa.string()))
+    return features(data, offsets[:-1], offsets[1:], np.arange(n + 1))[:, :2]
+
+
+def moved(places: np.ndarray, tags: np.ndarray, mask: np.ndarray, copies: int = COPIES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The segments, and copies of those with a value in which other words stand around another random value,
+    every second time between other shapes, too.
+
+    So the field has to tell values by their shape and the marks beside them, too: learned from the rules'
+    matches alone it would look for the rules' keywords and the corpus's kinds of values, and find what the
+    rules find."""
+    secret = np.flatnonzero((tags == BEGIN).any(axis=1))
+    random = np.random.Generator(np.random.PCG64(11))
+    every, shapes = [(places, tags, mask)], _random_values(random)
+    for copy in range(copies):
+        new = places[secret].copy()
+        value = tags[secret] != OUTSIDE
+        words = value & (new[..., 0] >= _BEGINS[0] + 12 * 8)  # tokens of letters and digits
+        drawn = shapes[random.integers(0, len(shapes), value.shape)]
+        new[..., :2] = np.where(words[..., None], drawn, new[..., :2])
+        for c in _WORDS:
+            other = random.integers(0, _HASHED // 2, value.shape) * 2 + 1 + _BEGINS[c]
+            new[..., c] = np.where(value, other, new[..., c])
+        if copy % 2:  # between words, or whatever marks
+            beside = np.array([12, 14, 15, *range(11), 23])[random.integers(0, 15, (2, *value.shape))]
+            new[..., _BESIDE] = np.where(value, beside[0] * _SHAPES + beside[1] + _BEGINS[_BESIDE], new[..., _BESIDE])
+        every.append((new, tags[secret], mask[secret]))
+    return tuple(np.concatenate(x) for x in zip(*every, strict=True))
+
+
+def _trained(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The field of the segments, one row; none if no segment has a secret."""
+    batches = list(batches)
+    if not any(b.num_rows for b in batches):
+        return
+    places, tags, mask = padded(pa.Table.from_batches(batches))
+    if not (tags == BEGIN).any():
+        return
+    field = train(*moved(places, tags, mask))
+    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (field.weights, field.steps)], ["weights", "steps"])
 
 
 def spans_of(column: pa.Array, field: Field | None) -> list[list[tuple[int, int, int]]]:

@@ -9,14 +9,17 @@ Likeness is the Jaccard similarity of two fingerprints. `likeness` takes a bound
 rule it out, or whose merge cannot reach it any more, count as 0. Fingerprints fall into partitions by
 size (`length_partition`) so that only those of one or two neighbouring partitions can reach the bound.
 
-`with_next` puts each document beside its successor in the order of doc_id (NULL last, ties by text): it
-sorts ranges of ids, reads each range once, and joins the last row of a range with the first of the next.
+`with_next` puts each document beside its successor in the order of doc_id (NULL last, ties by a digest of
+the text). Ids and digests alone are sorted first, and give the first document of each range; then every
+range gets its documents, sorted, and behind them the first one of the range that follows. So texts are
+shuffled once, none of them passes the driver, and nothing but the result is written.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -121,39 +124,21 @@ def compared(texts: list[str], following: list[str]) -> dict[str, list]:
 
 
 _RESULT = {"n_chars": "long", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"}
-_END, _HEAD, _TAIL = range(3)
 
 
-def _in_range(schema: pa.Schema):
-    """All rows of a sorted range but the last are compared; the first and the last are handed on with their texts."""
+def _compared(schema: pa.Schema):
+    """All rows of sorted ranges are compared with the next row; the last of a range is there for that alone."""
 
     def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = {name: None for name in _RESULT}
-        held: tuple | None = None
+        held: tuple[list, list, list] = ([], [], [])
         for part in common.slices(batches):
-            ids, texts = part.column("doc_id").to_pylist(), [t or "" for t in part.column("text").to_pylist()]
-            range_id = part.column("range")[0].as_py()
-            if held is None:
-                yield pa.RecordBatch.from_pylist([none | {"kind": _HEAD, "range": range_id, "doc_id": ids[0], "text": texts[0]}], schema)
-            else:
-                ids, texts = [held[0], *ids], [held[1], *texts]
-            held = ids[-1], texts[-1], range_id
-            if len(ids) > 1:
-                columns = compared(texts[:-1], texts[1:])
-                n = len(ids) - 1
-                columns |= {"kind": [_END] * n, "range": [range_id] * n, "doc_id": ids[:-1], "text": [None] * n}
-                yield common.batch_of(schema, **columns)
-        if held:
-            yield pa.RecordBatch.from_pylist([none | {"kind": _TAIL, "range": held[2], "doc_id": held[0], "text": held[1]}], schema)
-
-    return of
-
-
-def _pairs(schema: pa.Schema):
-    def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.slices(batches):
-            columns = compared(part.column("text").to_pylist(), part.column("following").to_pylist())
-            yield common.batch_of(schema, doc_id=part.column("doc_id").to_pylist(), **columns)
+            columns = [part.column(c).to_pylist() for c in ("doc_id", "text", "following")]
+            ids, texts, following = (a + b for a, b in zip(held, columns, strict=True))
+            own = [i for i in range(len(ids) - 1) if not following[i]]
+            if own:
+                found = compared([texts[i] for i in own], [texts[i + 1] for i in own])
+                yield common.batch_of(schema, doc_id=[ids[i] for i in own], **found)
+            held = (ids[-1:], texts[-1:], following[-1:])
 
     return of
 
@@ -166,14 +151,31 @@ def with_next(docs: DataFrame) -> DataFrame:
     result = StructType([docs.schema["doc_id"]])
     for name, kind in _RESULT.items():
         result = result.add(name, kind)
-    whole = StructType(list(result.fields)).add("kind", "integer").add("range", "integer").add("text", "string")
-    order = F.col("doc_id").asc_nulls_last(), F.col("text").asc()
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
-    rows = common.staged(rows.mapInArrow(_in_range(to_arrow_schema(whole)), whole))
-    ranges = sorted(r["range"] for r in rows.filter(F.col("kind") == _HEAD).select("range").collect())  # one for each partition
-    follow = docs.sparkSession.createDataFrame(list(zip(ranges, ranges[1:] + ranges[:1], strict=True)), "range int, next int")
-    heads = rows.filter(F.col("kind") == _HEAD).select(F.col("range").alias("next"), F.col("text").alias("following"))
-    tails = rows.filter(F.col("kind") == _TAIL).select("doc_id", "range", "text").join(follow, "range").join(heads, "next")
-    rest = tails.select("doc_id", "text", "following").mapInArrow(_pairs(to_arrow_schema(result)), result)
-    return rows.filter(F.col("kind") == _END).select(result.names).union(rest)
+    spark = docs.sparkSession
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.col("doc_id").isNull().alias("none"), F.xxhash64(text).alias("tie"))
+    order = ["none", "doc_id", "tie"]
+    ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ids = rows.select(order).repartitionByRange(ranges, *order)
+    firsts = sorted_ids.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*order)).alias("first")).select("first.*")
+    bounds = sorted((r["none"], 0 if r["none"] else r["doc_id"], r["tie"]) for r in firsts.collect())  # one for each range
+    if not bounds:
+        return spark.createDataFrame([], result)
+
+    @F.arrow_udf("int")
+    def range_of(none: pa.Array, doc_id: pa.Array, tie: pa.Array) -> pa.Array:
+        keys = zip(none.to_pylist(), doc_id.to_pylist(), tie.to_pylist(), strict=True)
+        return pa.array([bisect_right(bounds, (n, 0 if n else i, t)) - 1 for n, i, t in keys], pa.int32())
+
+    placed = rows.withColumn("range", range_of("none", "doc_id", "tie"))
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in order]
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in order)
+    wanted = [(n, None if n else i, t, (k - 1) % len(bounds)) for k, (n, i, t) in enumerate(bounds)]
+    wanted = spark.createDataFrame(wanted, f"{kinds}, range int")
+    heads = rows.alias("r").join(F.broadcast(wanted.alias("f")), on=same).select("r.*", "f.range")
+    heads = heads.groupBy("range").agg(F.first("text").alias("text"))  # of rows alike one
+    columns = ["doc_id", "text", "none", "tie", "range"]
+    heads = heads.select(*(F.col(c) if c in heads.columns else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns))
+    every = placed.select(*columns, F.lit(False).alias("following")).union(heads.select("*", F.lit(True)))
+    every = every.repartition("range").sortWithinPartitions("range", "following", *order)
+    return every.select("doc_id", "text", "following").mapInArrow(_compared(to_arrow_schema(result)), result)

@@ -26,6 +26,20 @@ def test_next_document_and_edit(spark):
             assert out[i][name] == pytest.approx(len(own & other) / len(own | other) if own | other else 1.0)
 
 
+def test_many_ranges_of_equal_ids(spark):
+    """Results don't depend on the ranges, and no text is in the plan of the range partitioning."""
+    rows = [(i // 3 if i % 17 else None, f"the text {i % 5} of some words and more") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("1", "9", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted(map(repr, spotsigs.with_next(docs).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+
+
 def test_length_partitions_hold_all_likely_pairs():
     for a in range(1, 300):
         for b in range(a, 300):
