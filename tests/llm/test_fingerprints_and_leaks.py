@@ -96,6 +96,58 @@ def test_planted_leaks_are_found_and_clean_documents_kept(spark):
     assert kept == set(range(160)) - {i for i, _ in found}
 
 
+def leaks_of(spark, rows, items):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((x["doc_id"], x["item_id"]) for x in decontam.found(docs, benchmark).collect())
+    return found, [x["doc_id"] for x in decontam.clean(docs, benchmark).collect()]
+
+
+def test_no_verbatim_leak_is_lost(spark):
+    item = prose(1, 20)
+    # all words of the item are in all documents
+    for n in (1, 6):
+        rows = [(i, f"{prose(30, 40)} {item} {prose(40, 40)}") for i in range(n)]
+        found, kept = leaks_of(spark, rows, [(9, item)])
+        assert found == [(i, 9) for i in range(n)] and not kept
+    # items of few words, in a row and with other marks between; not the same words in another order
+    rows = [(1, f"{prose(5, 30)} Alpha, beta gamma-delta {prose(6, 30)}"), (2, "beta alpha gamma delta"), (3, "one"), (4, "alpha beta"), (5, None)]
+    found, kept = leaks_of(spark, rows, [(1, "alpha beta gamma delta"), (2, "One!"), (3, "..."), (4, "delta epsilon")])
+    assert found == [(1, 1), (3, 2)] and sorted(kept) == [2, 4, 5]
+    # one row for each id and item, every row judged by its own text
+    rows = [(50, item), (50, f"{item} {item}"), (50, "clean"), (None, item), (None, prose(77, 9)), (7, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(9, item)], "item_id long, text string")
+    assert sorted(map(str, (x["doc_id"] for x in decontam.found(docs, benchmark).collect()))) == ["50", "None"]
+    assert sorted(x["text"] for x in decontam.clean(docs, benchmark).collect()) == sorted(["clean", prose(77, 9), "clean"])
+
+
+def test_the_sample_is_of_distinct_texts(spark):
+    rows = [("copied",)] * 500 + [(prose(i, 5),) for i in range(60)] + [(None,)]
+    texts = spark.createDataFrame(rows, "text string").repartition(5)
+    assert decontam.sample(texts, 30).distinct().count() == decontam.sample(texts, 30).count() == 30
+    assert decontam.sample(texts, 100).count() == 61 and decontam.sample(texts.limit(0), 5).count() == 0
+    same = [sorted(r.text for r in decontam.sample(t, 30).collect()) for t in (texts, texts.repartition(2))]
+    assert same[0] == same[1]
+
+
+def test_a_smaller_sample_still_finds_paraphrases(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "FIT_DOCUMENTS", 40)
+    items = [(i, prose(5000 + i, 30 + i % 30)) for i in range(40)]
+    r, rows, wanted = random.Random(3), [], set()
+    for i in range(400):
+        own = words(i, 200)
+        if i < 120:
+            item = items[i % 40][1].split()
+            own[100:100] = [w if r.random() > 1 / 6 else "changed" for w in item]
+            if leaked(item, own[100 : 100 + len(item)]):
+                wanted.add((i, i % 40))
+        rows.append((i, " ".join(own)))
+    found, _ = leaks_of(spark, rows, items)
+    assert len(wanted) > 60 and len(set(found) & wanted) >= 0.9 * len(wanted)
+    assert set(found) <= {(i, i % 40) for i in range(120)}
+
+
 def test_leaks_take_odd_rows(spark):
     docs = odd_documents(spark)
     odd_items = [(None, None), (1, ""), (2, "one two"), (3, prose(7, 50)), (3, prose(7, 50))]
