@@ -18,13 +18,13 @@ shuffled once, none of them passes the driver, and nothing but the result is wri
 from __future__ import annotations
 
 import hashlib
+import json
 import math
-from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm import common
@@ -162,14 +162,17 @@ def with_next(docs: DataFrame) -> DataFrame:
     if not bounds:
         return spark.createDataFrame([], result)
 
-    @F.arrow_udf("int")
-    def range_of(none: pa.Array, doc_id: pa.Array, tie: pa.Array) -> pa.Array:
-        keys = zip(none.to_pylist(), doc_id.to_pylist(), tie.to_pylist(), strict=True)
-        return pa.array([bisect_right(bounds, (n, 0 if n else i, t)) - 1 for n, i, t in keys], pa.int32())
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in order)
+    table = json.dumps([dict(zip(order, (n, None if n else i, t))) for n, i, t in bounds], default=str)
+    limits, key = F.from_json(F.lit(table), F.lit(f"array<struct<{kinds.replace(' ', ':')}>>".replace(",:", ","))), F.struct(*order)
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when((at + step < len(bounds)) & (F.get(limits, at + step) <= key), at + step).otherwise(at)
 
-    placed = rows.withColumn("range", range_of("none", "doc_id", "tie"))
+    # the last range whose first key is not behind the row's, by halving steps
+    steps = [1 << k for k in range(len(bounds).bit_length(), -1, -1)]
+    placed = rows.withColumn("range", F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further))
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in order]
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in order)
     wanted = [(n, None if n else i, t, (k - 1) % len(bounds)) for k, (n, i, t) in enumerate(bounds)]
     wanted = spark.createDataFrame(wanted, f"{kinds}, range int")
     heads = rows.alias("r").join(F.broadcast(wanted.alias("f")), on=same).select("r.*", "f.range")
