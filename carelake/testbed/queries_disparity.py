@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from carelake.functions import codes
+from carelake.operators import sketches
 from carelake.plans import disparity as d
+from carelake.sources import tables
 from carelake.testbed.book import Lake, query
 
 DURATION = "round(avg(encounter_duration) + 1e-9, 4)"
@@ -382,3 +388,49 @@ for name, keys in VALUES.items():
 )
 def _(lake: Lake):
     return d.value_by_category(lake.category_totals())
+
+
+def _daily(lake: Lake):
+    """Sketches of the clean encounters by the day they start, kept as a table."""
+    day = F.to_date("start_time")
+    made = sketches.daily(
+        lake.clean_encounters(), day, "class_code", distinct=["patient_reference"], numbers=["encounter_duration"]
+    )
+    return tables.kept(made, tables.shared_folder(lake.spark), f"daily-{uuid.uuid4().hex}")
+
+
+@query(
+    "a12_patients_from_daily_sketches",
+    "SELECT class_code, count(DISTINCT patient_reference) AS patients, true AS close FROM enc GROUP BY class_code",
+)
+def _(lake: Lake):
+    """The exact numbers, and whether the merged sketches of all days are within 3 % of them."""
+    found = sketches.distinct_counts(_daily(lake), "patient_reference", "class_code", into="about")
+    exact = lake.clean_encounters().select("class_code", "patient_reference").distinct()
+    exact = exact.groupBy("class_code").agg(F.count("patient_reference").alias("patients"))
+    close = F.abs(F.col("about") - F.col("patients")) <= 0.03 * F.col("patients")
+    return exact.join(found, "class_code").select("class_code", "patients", close.alias("close"))
+
+
+@query(
+    "a17_duration_box_from_daily_sketches",
+    """SELECT class_code, min(encounter_duration)::DOUBLE AS lowest, max(encounter_duration)::DOUBLE AS highest,
+         true AS q1_close, true AS median_close, true AS q3_close FROM enc GROUP BY class_code""",
+)
+def _(lake: Lake):
+    """The ends, and whether the share of values up to each quartile of the merged sketches is off by 3 % at most."""
+    box = sketches.box_numbers(_daily(lake), "encounter_duration", "class_code")
+    rows = lake.clean_encounters().select("class_code", "encounter_duration").join(F.broadcast(box), "class_code")
+    x, shares = F.col("encounter_duration"), {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    judged = rows.groupBy("class_code", "lowest", "highest").agg(
+        *(
+            F.avg((x < F.col(n)).cast("double")).between(0, q + 0.03).alias(f"{n}_below")
+            for n, q in shares.items()
+        ),
+        *(
+            F.avg((x <= F.col(n)).cast("double")).between(q - 0.03, 1).alias(f"{n}_upto")
+            for n, q in shares.items()
+        ),
+    )
+    close = [(F.col(f"{n}_below") & F.col(f"{n}_upto")).alias(f"{n}_close") for n in shares]
+    return judged.select("class_code", "lowest", "highest", *close)
