@@ -1,6 +1,7 @@
 """Whole jobs, from input paths to Parquet results. `run_job.py` starts them:
 
     flatten                                 <bundles> <lake>
+    flatten-lines                           <files with one resource a line> <lake>
     profile                                 <bundles> <results>
     cost | disparity | risk | readmission   <lake>    <results> [as_of]
     encounter-csv                           <file>    <results>
@@ -19,12 +20,11 @@ from carelake.plans import cost, disparity, encounter_csv, features, models
 from carelake.sources import bundles, tables
 
 
-def flatten_job(spark: SparkSession, source: str, lake: str, partitions: int | None = None) -> None:
-    """Bundles to the twelve flat tables, and the malformed documents to the table `rejected`. The
+def flatten_job(spark: SparkSession, source: str, lake: str, partitions: int | None = None, lines: bool = False) -> None:
+    """Bundles, or files with one resource a line, to the twelve flat tables, and the malformed documents to the table `rejected`. The
     documents are parsed once, into `<lake>/_entries`."""
-    staged = bundles.stage_entries(
-        bundles.read_bundles(spark, source, partitions), f"{lake}/_entries"
-    )
+    read = bundles.read_resources(spark, source) if lines else bundles.read_bundles(spark, source, partitions)
+    staged = bundles.stage_entries(read, f"{lake}/_entries")
     for name, build in flatten.TABLES.items():
         tables.write_table(build(staged), lake, name)
     tables.write_table(bundles.rejected(staged), lake, bundles.REJECTED)
@@ -234,7 +234,7 @@ def _directory(title: str) -> str:
     return "_".join(title.lower().replace(".", "").split())
 
 
-JOBS = ("flatten", "profile", "cost", "disparity", "risk", "readmission", "encounter-csv")
+JOBS = ("flatten", "flatten-lines", "profile", "cost", "disparity", "risk", "readmission", "encounter-csv")
 
 
 def main(job: str, source: str, target: str, as_of: str | None = None) -> None:
@@ -242,8 +242,8 @@ def main(job: str, source: str, target: str, as_of: str | None = None) -> None:
         raise SystemExit(__doc__)
     as_of = as_of or date.today().isoformat()
     spark = tables.session(f"carelake {job}")
-    if job == "flatten":
-        flatten_job(spark, source, target)
+    if job in ("flatten", "flatten-lines"):
+        flatten_job(spark, source, target, lines=job == "flatten-lines")
         return
     if job == "profile":
         results = profile_results(spark, source)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from carelake.functions import codes
+from carelake.sources import tables
 
 CHRONIC = "(?i)chronic"
 KEY = "patient_id"
@@ -25,11 +26,34 @@ COUNTS = (
 ENCOUNTER_SPAN = ("first_encounter", "last_encounter")
 
 
+#: The reference to the patient in the tables that features are made of.
+REFERENCES = {
+    "encounter": "patient_reference",
+    "claim": "patient_reference",
+    "condition": "patient_reference",
+    "procedure": "subject_reference",
+    "immunization": "patient_reference",
+    "diagnostic_report": "subject_reference",
+}
+
+
 def _by_patient(rows: DataFrame, *aggregates, reference: str = "patient_reference") -> DataFrame:
-    key = codes.bare_key(F.col(reference)).alias(KEY)
+    """By the bare key: the column that `bucketed` has added, or made from the reference."""
+    key = F.col(KEY) if KEY in rows.columns else codes.bare_key(F.col(reference)).alias(KEY)
     return rows.groupBy(key).agg(*aggregates)
 
 
+def bucketed(sources: dict[str, DataFrame], prefix: str, buckets: int) -> dict[str, DataFrame]:
+    """The source tables written once more, with the bare patient key and in buckets of it, as the tables
+    `<prefix>_<name>` of the session's catalogue. Features of them, and any grouping or join by patient, need
+    no shuffle; without it, all of these tables are shuffled for each feature table and each report."""
+    out = {}
+    for name, table in sources.items():
+        keyed = table.withColumn(KEY, codes.bare_key(F.col(REFERENCES[name]))) if name in REFERENCES else table
+        out[name] = tables.write_bucketed(keyed, f"{prefix}_{name}", KEY, buckets)
+    return out
+
+
 def _amount(column: str = "total_amount"):
     """Amounts are summed as single-precision values, in double precision."""
     return F.sum(F.col(column).cast("float"))
@@ -124,7 +148,7 @@ def patient_features(
 
 
 def feature_table(
-    tables: dict[str, DataFrame],
+    sources: dict[str, DataFrame],
     as_of: str,
     span: bool = False,
     states=codes.RISK_STATES,
@@ -135,14 +159,14 @@ def feature_table(
 
     Claims and conditions are aggregated once for all the features that come from them.
     """
-    patient = tables["patient"].select(KEY, "state", "birth_date")
+    patient = sources["patient"].select(KEY, "state", "birth_date")
     parts = [
-        encounter_features(tables["encounter"]),
-        claim_features(tables["claim"]),
-        condition_features(tables["condition"]),
-        procedure_features(tables["procedure"]),
-        immunization_features(tables["immunization"]),
-        diagnostic_features(tables["diagnostic_report"]),
+        encounter_features(sources["encounter"]),
+        claim_features(sources["claim"]),
+        condition_features(sources["condition"]),
+        procedure_features(sources["procedure"]),
+        immunization_features(sources["immunization"]),
+        diagnostic_features(sources["diagnostic_report"]),
     ]
     joined = with_derived(patient, as_of, states, label)
     for part in parts:

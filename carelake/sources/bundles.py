@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from carelake.schemas import BUNDLE
+from carelake.schemas import BUNDLE, RESOURCE_FIELDS
 
 TYPE_COLUMN = "resource_type"
 #: Text of a document that is not well-formed, and the directory of such documents among staged entries.
@@ -22,6 +22,17 @@ def read_bundles(spark: SparkSession, path: str, partitions: int | None = None)
     return bundles.repartition(partitions) if partitions else bundles
 
 
+def read_resources(spark: SparkSession, path: str) -> DataFrame:
+    """As `read_bundles`, for files with one resource a line. Lines of one file go to as many tasks as its size
+    needs (`spark.sql.files.maxPartitionBytes`), where a bundle is one row of one task, however large it is.
+    A malformed line keeps its text in `corrupt`."""
+    fields = ", ".join(f"`{n}` {t}" for n, t in RESOURCE_FIELDS.items())
+    lines = spark.read.schema(f"{fields}, {CORRUPT} string").json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    resource = F.struct(F.struct(*(F.col(f"`{n}`") for n in RESOURCE_FIELDS)).alias("resource"))
+    entry = F.when(F.col(CORRUPT).isNull(), F.array(resource))
+    return lines.select(entry.alias("entry"), CORRUPT, F.col("_metadata.file_path").alias("path"))
+
+
 def parse_bundles(documents: DataFrame, text: Column) -> DataFrame:
     """Same as `read_bundles` for documents that are a text column already."""
     return documents.select(F.from_json(text, BUNDLE).alias("bundle")).select("bundle.entry")

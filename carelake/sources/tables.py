@@ -35,6 +35,14 @@ def kept(table: DataFrame, path: str, name: str) -> DataFrame:
     return read_table(table.sparkSession, path, name)
 
 
+def write_bucketed(table: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """A table of the session's catalogue in sorted buckets of a key, one file each: groupings by the key and
+    joins with tables in as many buckets of it need no shuffle."""
+    spread = table.repartition(buckets, key)
+    spread.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)
+    return table.sparkSession.table(name)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; unset, one inside the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -304,3 +304,28 @@ def test_malformed_documents_are_kept_apart(spark, tmp_path):
     assert bundles.resources(staged, "Claim").count() >= 2
     tidy = bundles.stage_entries(bundles.read_bundles(spark, str(folder / "[12].json")), str(tmp_path / "tidy"))
     assert bundles.rejected(tidy).count() == 0
+
+
+def test_one_resource_a_line(spark, tmp_path):
+    """The rows of bundles, from lines of one big file that several tasks read."""
+    import json
+
+    both = [r for r in FIRST + SECOND]
+    lines = [json.dumps(r) for r in both] * 400
+    (tmp_path / "all.ndjson").write_text("\n".join(lines) + "\n\n{broken\n")
+    (tmp_path / "bundle.json").write_text(json.dumps({"entry": [{"resource": r} for r in both]}))
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        read = bundles.read_resources(spark, str(tmp_path / "all.ndjson"))
+        assert read.rdd.getNumPartitions() >= 4
+        sizes = read.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert max(sizes) < 0.5 * sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    whole = bundles.entries(bundles.read_bundles(spark, str(tmp_path / "bundle.json")))
+    got = sorted(str(r) for r in bundles.entries(read).collect())
+    assert got == sorted(str(r) for r in whole.collect() for _ in range(400))
+    jobs.flatten_job(spark, str(tmp_path / "all.ndjson"), str(tmp_path / "lake"), lines=True)
+    assert [r.text for r in spark.read.parquet(str(tmp_path / "lake/rejected")).collect()] == ["{broken"]
+    assert spark.read.parquet(str(tmp_path / "lake/patient")).count() == 400 * sum(r["resourceType"] == "Patient" for r in both)

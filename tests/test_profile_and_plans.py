@@ -163,3 +163,24 @@ def test_resource_profile_sees_undeclared_fields(spark, tmp_path):
     assert got[("", "odd field")] == (1, 1, False, False) and len(got) == 2 * 5
     lists = {r.resource_type: r.informative_columns for r in results["field_lists"].collect()}
     assert lists == {"A": ["id", "odd field"], "": []}
+
+
+def test_features_of_bucketed_tables_need_no_shuffle(spark, sf_dir):
+    import uuid
+
+    from carelake.plans import features
+    from carelake.testbed import star
+
+    names = ("patient", *features.REFERENCES)
+    sources = {n: star.flat(spark, sf_dir, n) for n in names}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = features.bucketed(sources, f"b{uuid.uuid4().hex[:8]}", 4)
+        made = features.feature_table(kept, star.AS_OF, span=True)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert "Exchange" in features.feature_table(sources, star.AS_OF)._jdf.queryExecution().executedPlan().toString()
+        assert rows(made) == rows(features.feature_table(sources, star.AS_OF, span=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
