@@ -228,14 +228,15 @@ def joined(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL
     """doc_id, class_id, n_links, n_copies, is_head and the row keys k1, k2 (see `with_keys`), one row per document.
 
     n_links counts the other documents with a similarity of `threshold` or more, n_copies those with the
-    same shingles, the document itself included; is_head marks the row of a class with the least id.
+    same shingles, the document itself included; is_head marks the row of a class with the least id, which is not NULL
+    unless all are.
     """
     keyed = with_keys(docs)
     kind = keyed.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, k1 long, k2 long, size long, d1 long, d2 long, sketch binary"
     rows = common.staged(keyed.mapInArrow(_sketched, schema))
     sets = rows.filter("size > 0").groupBy("d1", "d2")
-    sets = sets.agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "k1", "k2")).alias("head"), F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch"))
+    sets = sets.agg(F.count("*").alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("head"), F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch"))
     sets = common.staged(sets.withColumn("set_id", F.monotonically_increasing_id()))
 
     share = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDINATES)

@@ -114,7 +114,9 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
         CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
         sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-        CAST(3 + sum(escaped + around) AS BIGINT) AS formatted_chars
+        CAST(3 + sum(escaped + around) AS BIGINT) AS formatted_chars,
+        regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'o' END, ''
+            ORDER BY turn NULLS LAST, role, text), 's?(ua)+') AS valid
     FROM marks GROUP BY conv_id
     """
 )
@@ -122,7 +124,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
-    return chat.digests(chat.formatted(turns.union(added))).drop("valid")
+    return chat.digests(chat.formatted(turns.union(added)))
 
 
 @query()

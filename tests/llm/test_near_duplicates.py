@@ -4,7 +4,7 @@ import re
 import pytest
 
 from carelake.llm import ngram_join
-from tests.llm.data import ODD, WORDS, odd_documents, words
+from tests.llm.data import ODD, WORDS, odd_documents, prose, words
 
 
 def sets(text):
@@ -55,3 +55,11 @@ def test_odd_rows(spark):
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns and kept.count() == len(ODD) - 1
     assert ngram_join.joined(docs.limit(0)).count() == 0
+
+
+def test_the_head_has_an_id_if_any_row_has(spark):
+    text = prose(3, 40)
+    docs = spark.createDataFrame([(None, text), (6, text), (5, text), (None, prose(4, 40))], "doc_id long, text string")
+    heads = [(r["doc_id"], r["class_id"]) for r in ngram_join.joined(docs).filter("is_head").collect()]
+    assert sorted(heads, key=str) == [(5, 5), (None, None)]
+    assert {r["doc_id"] for r in ngram_join.one_of_each(docs).collect()} == {5, None}
