@@ -74,3 +74,36 @@ def test_language_takes_odd_rows(spark):
             if not any(c.isalpha() for c in r["text"] or ""):
                 assert (r["lang_pred"], r["score"]) == ("und", 0.0)
         assert langid.identified(docs.limit(0), profiles).count() == 0
+
+
+def by_place(gram):
+    """The order of n-grams of equal counts: by code points, shorter ones first."""
+    return (0,) * (3 - len(gram)) + tuple(1 if c == " " else ord(c) + 1 for c in gram)
+
+
+def plain_ranks(texts, size):
+    counts, _ = plain_profile(texts, size)
+    order = sorted(counts, key=lambda g: (-counts[g], by_place(g)))
+    return {g: i for i, g in enumerate(order[:size])}
+
+
+def test_out_of_place_distance_equals_plain_counting(spark):
+    import random
+
+    r, size = random.Random(12), 60
+    letters = {"xx": "abcdefgh", "yy": "efghijkl", "zz": "ijklmnéa"}
+
+    def text(lang):
+        return " ".join("".join(r.choice(letters[lang]) for _ in range(r.randint(1, 7))).title() for _ in range(r.randint(1, 60)))
+
+    learned = [(lang, text(lang)) for lang in letters for _ in range(30)]
+    profiles = langid.fit(spark.createDataFrame(learned, "lang string, text string").repartition(4), size=size)
+    ranks = {lang: plain_ranks([t for own, t in learned if own == lang], size) for lang in letters}
+    asked = [text(lang) for lang in letters for _ in range(60)]
+    out = langid.identified(spark.createDataFrame([(t,) for t in asked], "text string"), profiles).collect()
+    for row in out:
+        top = plain_ranks([row["text"]], size)
+        apart = {lang: sum(abs(own[g] - i) if g in own else size for g, i in top.items()) for lang, own in ranks.items()}
+        best = min(sorted(apart), key=apart.get)
+        assert row["lang_pred"] == best
+        assert abs(row["score"] - (1 - apart[best] / (size * len(top)))) < 1e-12
