@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from carelake.functions import codes
 from carelake.operators.joins import counted, mean_of
@@ -238,31 +238,56 @@ def with_total(eob: DataFrame) -> DataFrame:
     return eob.filter(F.col("total_amount").isNotNull()).select("total_amount")
 
 
-def adjudication_lines(eob: DataFrame) -> DataFrame:
-    """One row per adjudication line of a benefit row, with the amount and the first coding."""
-    lines = eob.select("eob_id", "patient_reference", F.explode("adjudication").alias("line"))
-    coding = F.get(F.col("line.category.coding"), F.lit(0))
-    return lines.select(
-        "eob_id",
-        "patient_reference",
-        F.col("line.amount.value").alias("value"),
-        F.col("line.amount.currency").alias("currency"),
+def _line(line: Column) -> Column:
+    """What the reports read of an adjudication line: the amount and the first coding."""
+    coding = F.get(line["category"]["coding"], F.lit(0))
+    return F.struct(
+        line["amount"]["value"].alias("value"),
+        line["amount"]["currency"].alias("currency"),
         coding["code"].alias("category_code"),
         coding["display"].alias("category_display"),
     )
 
 
+def adjudication_lines(eob: DataFrame, *others: str) -> DataFrame:
+    """One row per adjudication line of a benefit row, with the amount and the first coding; `others` are
+    further columns of the row to go with each line."""
+    lines = eob.select("eob_id", "patient_reference", *others, F.explode("adjudication").alias("line"))
+    return lines.select("eob_id", "patient_reference", *others, _line(F.col("line")).alias("l")).select(
+        "eob_id", "patient_reference", "l.*", *others
+    )
+
+
+LINE = ("eob_id", "patient_reference", "value", "currency", "category_display")
+
+
 def lines_with_claims(lines: DataFrame, eob: DataFrame) -> DataFrame:
     """Join of the lines with the benefit rows of the same id. Rows that join alike are one row:
-    `copies` of them are meant."""
-    line = ["eob_id", "patient_reference", "value", "currency", "category_display"]
-    left = counted(lines, *line, into="line_rows")
+    `copies` of them are meant.
+
+    Neither side is broadcast: how many lines there are is not seen in the size of the table.
+    """
+    left = counted(lines, *LINE, into="line_rows")
     right = counted(eob, "eob_id", "billable_period_start", into="eob_rows")
-    return left.join(right, "eob_id").select(
-        *line, "billable_period_start", (F.col("line_rows") * F.col("eob_rows")).alias("copies")
+    return left.join(right.hint("merge"), "eob_id").select(
+        *LINE, "billable_period_start", (F.col("line_rows") * F.col("eob_rows")).alias("copies")
     )
 
 
+def claim_lines(eob: DataFrame) -> DataFrame:
+    """`lines_with_claims` of all lines of the benefit rows, for which the rows are shuffled once, by their id,
+    with their lines still in one array. Counting and joining by the id, and counting of the lines, need
+    no further shuffle of them."""
+    with_lines = eob.filter("eob_id is not null").select("eob_id", "patient_reference", "adjudication")
+    with_lines = with_lines.repartition("eob_id").filter("size(adjudication) > 0")
+    rows = counted(with_lines, "eob_id", "patient_reference", "adjudication", into="line_rows")
+    claims = counted(eob, "eob_id", "billable_period_start", into="eob_rows")
+    met = rows.join(claims.hint("merge"), "eob_id")
+    lines = adjudication_lines(met, "billable_period_start", "line_rows", "eob_rows")
+    copies = F.sum(F.col("line_rows") * F.col("eob_rows"))
+    return lines.groupBy(*LINE, "billable_period_start").agg(copies.alias("copies"))
+
+
 def patient_weights(encounters: DataFrame, patients: DataFrame) -> DataFrame:
     """Demographics per patient with the number of encounter rows they would be repeated in."""
     rows = counted(encounters, "patient_reference", into="encounter_rows")
@@ -278,10 +303,10 @@ def patient_weights(encounters: DataFrame, patients: DataFrame) -> DataFrame:
 
 
 def lines_with_demographics(claim_lines: DataFrame, weights: DataFrame) -> DataFrame:
-    """Join of the lines with the encounter rows of the patient, `copies` as above."""
+    """Join of the lines with the encounter rows of the patient, `copies` as above. Neither side is broadcast."""
     bare = claim_lines.withColumn("patient_reference", codes.bare_key(F.col("patient_reference")))
     return (
-        bare.join(weights, "patient_reference")
+        bare.join(weights.hint("merge"), "patient_reference")
         .withColumn("copies", F.col("copies") * F.col("encounter_rows"))
         .drop("encounter_rows")
     )

@@ -85,7 +85,7 @@ class Lake:
         return disparity.patient_weights(usual, self.clean_patients())
 
     def claim_lines(self):
-        return disparity.lines_with_claims(disparity.adjudication_lines(self.eob()), self.eob())
+        return disparity.claim_lines(self.eob())
 
     def lines(self):
         return disparity.lines_with_demographics(self.claim_lines(), self.weights())

@@ -197,3 +197,25 @@ def test_distinct_counts(spark):
     df = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id") % 500).alias("v"))
     assert d.distinct_count(df, "v", "n").first().n == 501  # NULL is one
     assert abs(d.approx_distinct_count(df, "v", "n").first().n - 500) < 40
+
+
+def test_claim_lines_are_the_joined_lines(benefit_tables, spark):
+    eob, _, _ = benefit_tables
+    odd = eob.withColumn("adjudication", F.expr("if(hash(eob_id) % 3 = 0, null, adjudication)"))
+    odd = odd.unionByName(eob.withColumn("eob_id", F.lit(None).cast("string")))
+    odd = odd.unionByName(eob.limit(9).withColumn("patient_reference", F.lit(None).cast("string")))
+    for table in (eob, odd, eob.limit(0)):
+        wanted = d.lines_with_claims(d.adjudication_lines(table), table)
+        assert d.claim_lines(table).columns == wanted.columns
+        assert rows(d.claim_lines(table)) == rows(wanted)
+
+
+def test_lines_are_not_broadcast(benefit_tables):
+    """A table with few bytes can hold very many lines."""
+    eob, patients, encounters = benefit_tables
+    weights = d.patient_weights(encounters, patients)
+    for lines in (d.claim_lines(eob), d.lines_with_claims(d.adjudication_lines(eob), eob)):
+        for result in (lines, d.lines_with_demographics(lines, weights).select("category_display").distinct()):
+            plan = result._jdf.queryExecution().sparkPlan().toString()
+            # the weights' own join is of one row a patient
+            assert plan.count("BroadcastHashJoin") <= (result is not lines) and "SortMergeJoin" in plan
