@@ -579,14 +579,15 @@ def flat(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def encounter_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The denormalised encounter file: one row per line."""
+    """The denormalised encounter file: one row per line.
+
+    Orders meet their people first, so that lines are shuffled twice at most, and never with the people's columns."""
     lines = star(spark, sf_dir, "lineitem")
     orders = star(spark, sf_dir, "orders")
     part = star(spark, sf_dir, "part")
-    rows = (
-        lines.join(part, lines["l_partkey"] == part["p_partkey"])
-        .join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    of_people = orders.join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    rows = lines.join(part, lines["l_partkey"] == part["p_partkey"]).join(
+        of_people, F.col("l_orderkey") == F.col("o_orderkey")
     )
     return rows.selectExpr(
         "concat('e', l_orderkey) as ENCOUNTER_ID",
