@@ -1,8 +1,8 @@
 """Benchmark decontamination: latent semantic retrieval, then longest common subsequence and answer checks.
 
 * Terms are words, hashed to `TERMS` places. Document frequencies are counted over all documents.
-* A randomised SVD gives the latent space: the TF-IDF passages of the `FIT_DOCUMENTS` distinct texts with the
-  least hashes, or all if there are fewer, and of all benchmark items are multiplied with a random matrix and back, in tasks whose sums
+* A randomised SVD gives the latent space: the TF-IDF passages of all documents (`FIT_DOCUMENTS` can bound
+  them) and of all benchmark items are multiplied with a random matrix and back, in tasks whose sums
   Spark adds up by term; the orthonormal basis of the result has `RANK` directions. The benchmark, whose
   items must stay apart there, weighs `FAVOUR` times as much as the corpus.
 * Every document is cut into windows, one each `STRIDE` words. For a benchmark segment (an item, or about
@@ -38,7 +38,9 @@ WINDOW, STRIDE, SEGMENT = 48, 16, 64
 LATENT, NEAR, EXACT, PARAPHRASE, ANSWER, LEAST = 0.25, 0.45, 0.8, 0.6, 6, 5
 #: How much more the benchmark weighs than the corpus in the choice of the latent space.
 FAVOUR = 4.0
-FIT_DOCUMENTS, FIT_PARTITIONS, BLOCK = 5_000, 8, 4096
+#: None: the space is learned from all documents; a number: from so many distinct texts.
+FIT_DOCUMENTS: int | None = None
+FIT_PARTITIONS, BLOCK = 8, 4096
 _AT_ONCE = 1 << 15  # words whose latent vectors are held at a time
 _SEGMENTS = 512  # segments that are compared at a time
 
@@ -134,15 +136,17 @@ def fit(docs: DataFrame, benchmark: DataFrame) -> Space:
     counts[[r["term"] for r in found]] = [r["n"] for r in found]
     idf = np.log((2 + counts[-1]) / (1 + counts[:-1])).astype(np.float32)  # never 0, not even for a word of all documents
     random = np.random.Generator(np.random.PCG64(7)).standard_normal((TERMS, RANK)).astype(np.float32)
-    corpus = _product(sample(texts).repartition(FIT_PARTITIONS), idf, random)
+    corpus = _product(texts if FIT_DOCUMENTS is None else sample(texts).repartition(FIT_PARTITIONS), idf, random)
     items = _product(benchmark.select(F.col("text").cast("string").alias("text")).repartition(FIT_PARTITIONS), idf, random)
     basis, _ = np.linalg.qr(corpus + FAVOUR * items)
     return Space(idf, (basis * idf[:, None]).astype(np.float32))
 
 
 def sample(texts: DataFrame, most: int | None = None) -> DataFrame:
-    """The distinct texts with the least hashes, `most` of them; copies count once before any is chosen."""
+    """The distinct texts with the least hashes, `most` of them, or all; copies count once before any is chosen."""
     most = FIT_DOCUMENTS if most is None else most
+    if most is None:
+        return texts.filter("text IS NOT NULL").distinct()
     order = F.xxhash64(F.lit(7), "text")
     hashes = texts.filter("text IS NOT NULL").select(order.alias("h")).distinct()
     last = hashes.orderBy("h").limit(most).agg(F.max("h")).first()[0]

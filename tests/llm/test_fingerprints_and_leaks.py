@@ -194,3 +194,14 @@ def test_paraphrases_spread_over_more_words_than_a_segment_has_are_found():
     search = decontam.Search(space, decontam.Segments(hashed, list(range(40)), [x[-6:] for x in hashed], list(range(40))))
     found = {(i, item) for i, own in enumerate(search.of(texts)) for item in own}
     assert len(wanted) > 100 and wanted <= found
+
+
+def test_the_space_is_learned_from_all_documents(spark, monkeypatch):
+    """No document is left out by number: the 6,000 are those of the fit, each as often as it occurs."""
+    rows = [(i, f"w{i} w{i % 7} common words", "x") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    seen = []
+    product = decontam._product
+    monkeypatch.setattr(decontam, "_product", lambda d, *rest: (seen.append(d.count()), product(d, *rest))[1])
+    decontam.fit(docs, spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string"))
+    assert seen == [6000, 1]
