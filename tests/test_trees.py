@@ -58,6 +58,41 @@ def test_boosting_equals_growing_level_by_level(points, partition_rows):
     assert nodes.agg(F.countDistinct("tree")).first()[0] == 20
 
 
+def test_histograms_count_each_row_once(monkeypatch):
+    """A pass over the rows for each column, not one for each level; the nodes' sums are those of a plain walk."""
+    r = np.random.default_rng(5)
+    bins, rest = r.integers(0, 8, (3, 500)).astype(np.uint8), r.normal(0, 1, 500)
+    feature, cut = np.full(15, -1), np.zeros(15, np.int64)
+    feature[[0, 1, 2, 4]], cut[[0, 1, 2, 4]] = [0, 1, 2, 0], [3, 4, 1, 1]
+    want = np.zeros((2, 7, 3, 8))
+    for i in range(500):
+        node = 0
+        while node < 7:
+            for c in range(3):
+                want[:, node, c, bins[c, i]] += 1, rest[i]
+            if feature[node] < 0:
+                break
+            node = 2 * node + 1 + int(bins[feature[node], i] > cut[node])
+    passes, count = [], np.bincount
+    monkeypatch.setattr(boosting.np, "bincount", lambda *a: passes.append(1) or count(*a))
+    got = boosting._inner(boosting._histograms((bins, rest), feature, cut, 3, 8))
+    assert np.allclose(got, want) and len(passes) == 2 * 3
+
+
+def test_rounds_with_the_same_splits_need_no_job(spark, monkeypatch):
+    """Labels that one split explains: the histograms of the later rounds follow from those of the first."""
+    df = spark.range(900).selectExpr("id % 30 as a", "id % 7 as b", "double(id % 30 > 12) as label").repartition(3)
+    jobs, summed = [], boosting._summed
+    monkeypatch.setattr(boosting, "_summed", lambda *a: jobs.append(1) or summed(*a))
+    nodes, start = boosting.fitted(df, ["a", "b"], rounds=40, step=0.1, depth=3, partition_rows=400)
+    alone, _ = boosting.fitted(df, ["a", "b"], rounds=40, step=0.1, depth=3, partition_rows=1000)
+    assert nodes.agg(F.countDistinct("tree")).first()[0] == 40 and len(jobs) < 10
+    scored = [trees.boosted_scores(df, n, F.array(F.col("a").cast("double"), F.col("b").cast("double")), 3, start).orderBy("a", "b") for n in (nodes, alone)]
+    x = np.array([(r.a, r.b) for r in scored[0].collect()], float)
+    want = plain_boosting(x, np.array([r.label for r in scored[0].collect()]), 40, 0.1, 3)
+    assert all(np.allclose(want, [r.prediction for r in s.collect()], atol=1e-9) for s in scored)
+
+
 def test_boosting_takes_odd_rows(spark, points):
     odd = spark.createDataFrame([("n", None, 1.0, float("nan"), 1.0), ("m", 1.0, None, None, None)], points.schema)
     nodes, start = boosting.fitted(points.union(odd), ["a", "b", "c"], rounds=3, depth=2)
