@@ -126,6 +126,15 @@ def test_scores_from_nodes_equal_the_forest(points, tmp_path):
         assert len(r["values"]) == 7 and abs(r["values"][3][1] - tree.predict(r.features)) < 1e-9
 
 
+def test_packed_is_linear_in_the_nodes(spark):
+    """A tree of many nodes, one of them missing; a look-up of each number among all would take hours."""
+    last = 60_000
+    columns = ["0 as tree", "int(id) as node", "int(null) as feature", "double(null) as threshold", "array(0.5D) as left_values", "int(null) as left", "int(null) as right", "double(id) as value"]
+    nodes = spark.range(last + 1).filter("id <> 17").selectExpr(*columns).repartition(3)
+    got = trees.packed(nodes).selectExpr("trees[0] as t").selectExpr("size(t) as n", "t[17].value as gap", "forall(t, x -> x.value is null or x.node = x.value) as placed").first()
+    assert tuple(got) == (last + 1, None, True)
+
+
 @pytest.fixture(scope="module")
 def people(spark):
     rows = [(f"p{i}", ["ON", "QC", None][i % 3], i % 2, float(i % 41), i % 80, i % 5, float(i % 80 > 40)) for i in range(400)]
@@ -153,6 +162,14 @@ def test_search_equals_cross_validation(people, tmp_path, monkeypatch):
         models.searched(regressor, people, str(tmp_path), values, folds=3)
 
 
+def test_scoring_is_dealt_to_all_cores(people, tmp_path, monkeypatch):
+    monkeypatch.setattr(models, "SCORED_ROWS", 50)
+    values, seen, scored = {"numTrees": (1,), "maxDepth": (2,)}, [], trees.tree_values
+    monkeypatch.setattr(trees, "tree_values", lambda rows, *a: seen.append((rows.rdd.getNumPartitions(), rows.count())) or scored(rows, *a))
+    models.searched(models.readmission_forest(), people.coalesce(1), str(tmp_path), values, folds=2)
+    assert [n for n, _ in seen] == [4, 4] and sum(n for _, n in seen) == 400
+
+
 def test_search_has_the_documented_points(people, monkeypatch, tmp_path):
     seen = []
 
