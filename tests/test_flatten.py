@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from carelake import jobs
 from carelake.operators import flatten
 from carelake.sources import bundles, tables
+from carelake.testbed import star
 
 
 def concept(code, display=None, text=None):
@@ -329,3 +330,21 @@ def test_one_resource_a_line(spark, tmp_path):
     jobs.flatten_job(spark, str(tmp_path / "all.ndjson"), str(tmp_path / "lake"), lines=True)
     assert [r.text for r in spark.read.parquet(str(tmp_path / "lake/rejected")).collect()] == ["{broken"]
     assert spark.read.parquet(str(tmp_path / "lake/patient")).count() == 400 * sum(r["resourceType"] == "Patient" for r in both)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_documents_of_one_source_share_its_rows(spark, sf_dir):
+    """One shuffle by a hash and one scan for each source, of columns as they were read; the documents are those of each table."""
+    plan = _plan(star.documents(spark, sf_dir))
+    assert plan.count("RepartitionByExpression [") == 4 and "RoundRobin" not in plan
+    scans = [line for line in plan.split("\n") if "Relation [" in line]
+    assert sum("l_shipdate" in line for line in scans) == 1 and sum("ts#" in line for line in scans) == 1
+    below = plan[plan.index("RepartitionByExpression [") :].split("Join")[0].split("\nUnion")[0]
+    assert "date_format" not in below.split("Relation")[0]
+    together = star.documents(spark, sf_dir, "claim", "immunization", "observation", "procedure")
+    apart = [star.documents(spark, sf_dir, t) for t in ("claim", "immunization", "observation", "procedure")]
+    every = apart[0].unionByName(apart[1]).unionByName(apart[2]).unionByName(apart[3])
+    assert together.exceptAll(every).isEmpty() and every.exceptAll(together).isEmpty()
