@@ -77,14 +77,16 @@ def patient(entries: DataFrame) -> DataFrame:
 
 def encounter(entries: DataFrame, outer: bool = False) -> DataFrame:
     """One row per participant."""
-    rows = _per_element(resources(entries, "Encounter"), outer, "participant")
+    # texts are parsed once for each resource, here and below, before its arrays become rows
+    rows = resources(entries, "Encounter").withColumn("type", _nth(F.from_json("type", schemas.CONCEPTS))["text"])
+    rows = _per_element(rows, outer, "participant")
     role = _nth("participant.type")
     return _table(
         rows,
         encounter_id="id",
         status="status",
         class_code="class.code",
-        type_text=_nth(F.from_json("type", schemas.CONCEPTS))["text"],
+        type_text="type",
         start_time="period.start",
         end_time="period.end",
         patient_reference="subject.reference",
@@ -133,15 +135,15 @@ def medication_request(entries: DataFrame, outer: bool = False) -> DataFrame:
 
 def claim(entries: DataFrame, outer: bool = False) -> DataFrame:
     """One row per item, diagnosis, supporting information and insurance."""
-    rows = _per_element(
-        resources(entries, "Claim"), outer, "supportingInfo", "insurance", "diagnosis", "item"
-    )
-    total = F.from_json("total", schemas.MONEY)
+    total, kind = F.from_json("total", schemas.MONEY), F.from_json("type", schemas.CONCEPT)
+    rows = resources(entries, "Claim")
+    rows = rows.withColumns({"total": total["value"], "currency": total["currency"], "type": _coding(kind, "code")})
+    rows = _per_element(rows, outer, "supportingInfo", "insurance", "diagnosis", "item")
     return _table(
         rows,
         claim_id="id",
         status="status",
-        type_code=_coding(F.from_json("type", schemas.CONCEPT), "code"),
+        type_code="type",
         use="use",
         patient_reference="patient.reference",
         patient_display="patient.display",
@@ -154,8 +156,8 @@ def claim(entries: DataFrame, outer: bool = False) -> DataFrame:
         supporting_info_value_reference="supportingInfo.valueReference.reference",
         insurance_coverage_display="insurance.coverage.display",
         insurance_focal="insurance.focal",
-        total_amount=total["value"],
-        currency=total["currency"],
+        total_amount="total",
+        currency="currency",
         diagnosis_reference="diagnosis.diagnosisReference.reference",
         item_code=_coding("item.productOrService", "code"),
         item_description=_coding("item.productOrService", "display"),
@@ -175,22 +177,23 @@ def explanation_of_benefit(entries: DataFrame, outer: bool = False) -> DataFrame
 
     `total` is a list of amounts by category; the first, the submitted amount, is the total.
     """
+    total, kind = _nth(F.from_json("total", schemas.BENEFIT_TOTALS))["amount"], F.from_json("type", schemas.CONCEPT)
+    rows = resources(entries, "ExplanationOfBenefit")
     rows = _per_element(
-        resources(entries, "ExplanationOfBenefit"),
+        rows.withColumns({"total": total["value"], "currency": total["currency"], "type": _coding(kind, "code")}),
         outer,
         "contained",
         "careTeam",
         "insurance",
         "item",
     )
-    total = _nth(F.from_json("total", schemas.BENEFIT_TOTALS))["amount"]
     return _table(
         rows,
         eob_id="id",
         identifier_claim_id=_nth("identifier", 0)["value"],
         identifier_claim_group=_nth("identifier", 1)["value"],
         status="status",
-        code=_coding(F.from_json("type", schemas.CONCEPT), "code"),
+        code="type",
         use="use",
         patient_reference="patient.reference",
         billable_period_start="billablePeriod.start",
@@ -214,8 +217,8 @@ def explanation_of_benefit(entries: DataFrame, outer: bool = False) -> DataFrame
         service_period_start="item.servicedPeriod.start",
         service_period_end="item.servicedPeriod.end",
         adjudication="item.adjudication",
-        total_amount=total["value"],
-        total_currency=total["currency"],
+        total_amount="total",
+        total_currency="currency",
         payment_amount="payment.amount.value",
         payment_currency="payment.amount.currency",
         created_date="created",

@@ -336,6 +336,16 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("table", ["claim", "explanation_of_benefit", "encounter"])
+def test_texts_of_a_resource_are_parsed_before_its_arrays_become_rows(spark, sf_dir, table):
+    """Not once for each of the rows it becomes: only the explosion of the entries themselves is below the parsing."""
+    lines = _plan(flatten.TABLES[table](bundles.entries(bundles.parse_bundles(star.documents(spark, sf_dir, table), F.col("document"))))).split("\n")
+    parsing = [i for i, line in enumerate(lines) if "from_json(" in line]
+    exploding = [i for i, line in enumerate(lines) if "Generate explode(" in line]
+    of_entries = next(i for i in exploding if "explode(entry#" in lines[i])
+    assert len(parsing) > 1 and all(i < parsing[0] for i in exploding if i < of_entries)
+
+
 def test_documents_of_one_source_share_its_rows(spark, sf_dir):
     """One shuffle by a hash and one scan for each source, of columns as they were read; the documents are those of each table."""
     plan = _plan(star.documents(spark, sf_dir))
