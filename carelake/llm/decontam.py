@@ -41,7 +41,8 @@ FAVOUR = 4.0
 #: None: the space is learned from all documents; a number: from so many distinct texts.
 FIT_DOCUMENTS: int | None = None
 FIT_PARTITIONS, BLOCK = 8, 4096
-_AT_ONCE = 1 << 15  # words whose latent vectors are held at a time
+_AT_ONCE = 1 << 18  # words that are sorted by their term at a time
+_GROUPS, _PIECE = 1 << 10, 32  # groups that are summed at a time; words of a term in a group
 _SEGMENTS = 512  # segments that are compared at a time
 
 
@@ -68,14 +69,19 @@ def _passages(firsts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, n
     return firsts[:-1][doc] + (np.arange(len(doc)) - at[:-1][doc]) * width, doc, at
 
 
-def _block_sums(term: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of the rows of the terms from each start to the next."""
-    out, edges = np.zeros((len(starts), rows.shape[1]), np.float32), np.append(starts, len(term))
-    a = 0
-    while a < len(starts):
-        b = max(a + 1, int(np.searchsorted(edges, edges[a] + _AT_ONCE, "right")) - 1)
-        out[a:b] = np.add.reduceat(rows[term[edges[a] : edges[b]]], edges[a:b] - edges[a])
-        a = b
+def _group_sums(rows: np.ndarray, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each group the sum of the rows that `at` names from its start to its end. The first of all groups are
+    added at once, then the second, and so on: whole rows, where `reduceat` steps through each column by itself."""
+    out = np.zeros((len(starts), rows.shape[1]), rows.dtype)
+    longest = np.argsort(starts - ends, kind="stable")  # the groups that go on are always the first ones
+    for a in range(0, len(starts), _GROUPS):
+        own = longest[a : a + _GROUPS]
+        place, size = starts[own], (ends - starts)[own]
+        sums = np.zeros((len(own), rows.shape[1]), rows.dtype)
+        for j in range(int(size[0])):
+            n = int(np.searchsorted(-size, -j, "left"))
+            sums[:n] += rows.take(at[place[:n] + j], axis=0)
+        out[own] = sums
     return out
 
 
@@ -91,12 +97,14 @@ def _products(idf: np.ndarray, random: np.ndarray):
                 continue
             term, seen = terms(hashes), True
             starts, _, _ = _passages(firsts, WINDOW)
-            sums = _block_sums(term, starts, weighted)
+            sums = _group_sums(weighted, term, starts, np.append(starts[1:], len(term)))
             passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(term))))
             for a in range(0, len(term), _AT_ONCE):
-                order = a + np.argsort(term[a : a + _AT_ONCE], kind="stable")
-                own, first = np.unique(term[order], return_index=True)
-                total[own] += np.add.reduceat(sums[passage[order]], first) * idf[own, None]
+                order = np.argsort(term[a : a + _AT_ONCE].astype(np.uint16), kind="stable")
+                own, first = np.unique(term[a + order], return_index=True)
+                pieces, of_term, _ = _passages(np.append(first, len(order)), _PIECE)
+                parts = _group_sums(sums, passage[a + order], pieces, np.append(pieces[1:], len(order)))
+                total[own] += np.add.reduceat(parts, np.searchsorted(of_term, np.arange(len(own)))) * idf[own, None]
         if seen:
             rows = [r.tobytes() for r in total.astype(np.float32)]
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(TERMS)), pa.array(rows, pa.binary())], ["term", "y"])

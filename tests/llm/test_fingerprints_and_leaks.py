@@ -205,3 +205,25 @@ def test_the_space_is_learned_from_all_documents(spark, monkeypatch):
     monkeypatch.setattr(decontam, "_product", lambda d, *rest: (seen.append(d.count()), product(d, *rest))[1])
     decontam.fit(docs, spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string"))
     assert seen == [6000, 1]
+
+
+def test_group_sums_are_those_of_each_group_and_of_the_whole_product(monkeypatch):
+    """The transposed passages times their product with the matrix, against dense matrices; groups of any size, in pieces."""
+    rows = np.arange(24, dtype=np.float64).reshape(8, 3)
+    at, starts, ends = np.array([1, 1, 7, 0, 5, 2, 2]), np.array([0, 1, 1, 4]), np.array([1, 1, 4, 7])
+    wanted = [rows[at[a:b]].sum(axis=0) for a, b in zip(starts, ends, strict=True)]
+    monkeypatch.setattr(decontam, "_GROUPS", 3)
+    assert np.array_equal(decontam._group_sums(rows, at, starts, ends), wanted)
+    assert decontam._group_sums(rows, at, starts[:0], ends[:0]).shape == (0, 3)
+    texts = pa.array(["one two one " * 90, None, "", "two", " ".join(words(3, 130))])
+    monkeypatch.setattr(decontam, "_AT_ONCE", 100)
+    idf = np.linspace(1, 2, decontam.TERMS).astype(np.float32)
+    matrix = np.random.default_rng(1).standard_normal((decontam.TERMS, 2)).astype(np.float32)
+    hashes, firsts = common.word_hashes(texts)
+    blocks, _, _ = decontam._passages(firsts, decontam.WINDOW)
+    passages = np.zeros((len(blocks), decontam.TERMS))
+    np.add.at(passages, (np.searchsorted(blocks, np.arange(len(hashes)), "right") - 1, decontam.terms(hashes)), 1)
+    passages *= idf
+    (got,) = decontam._products(idf, matrix)([pa.RecordBatch.from_arrays([texts], ["text"])])
+    got = np.frombuffer(b"".join(got.column("y").to_pylist()), np.float32).reshape(decontam.TERMS, -1)
+    assert np.allclose(got, passages.T @ (passages @ matrix), rtol=1e-4, atol=1e-2)
