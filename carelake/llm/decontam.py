@@ -44,6 +44,7 @@ FIT_PARTITIONS, BLOCK = 8, 4096
 _AT_ONCE = 1 << 18  # words that are sorted by their term at a time
 _GROUPS, _PIECE = 1 << 10, 32  # groups that are summed at a time; words of a term in a group
 _SEGMENTS = 512  # segments that are compared at a time
+_CELLS = 1 << 17  # sums of blocks and segments that are added to at a time
 
 
 def terms(hashes: np.ndarray) -> np.ndarray:
@@ -287,7 +288,7 @@ class Search:
         rows, cols = [], []
         term = term.astype(np.int32)
         for reach, own in self.reaches:
-            sums_ = self.coarse_sums(term, starts, own)
+            sums_ = self.coarse_sums(term, starts, own, reach)
             low, high = np.maximum(place - reach, first), np.minimum(place + n + reach, last)
             queries = self.queries[:, own]
             step = max(1, (1 << 22) // len(own))
@@ -306,13 +307,18 @@ class Search:
         row, col = np.concatenate(rows), np.concatenate(cols)
         return starts[row], doc[row], col
 
-    def coarse_sums(self, term: np.ndarray, starts: np.ndarray, segments: np.ndarray) -> np.ndarray:
-        """Running sums over the blocks of words of the coarse weights that they share with the segments."""
-        out = np.zeros((len(starts) + 1, len(segments)), np.int64)
-        words = _side_by_side(term, starts)
-        coarse, step = self.coarse[:, segments], max(1, (1 << 22) // (STRIDE * len(segments)))
+    def coarse_sums(self, term: np.ndarray, starts: np.ndarray, segments: np.ndarray, reach: int) -> np.ndarray:
+        """Running sums over the blocks of words of the coarse weights that they share with the segments. They wrap
+        around; the difference over a window doesn't, for its words fit the type."""
+        most = (WINDOW + 2 * STRIDE * reach) * 255
+        out = np.zeros((len(starts) + 1, len(segments)), np.promote_types(np.min_scalar_type(most), np.uint16))
+        words = np.ascontiguousarray(_side_by_side(term, starts).T)
+        coarse = self.coarse.take(segments, axis=1)  # whole rows; an index would lay them out column by column
+        step = max(1, _CELLS // len(segments))
         for a in range(0, len(starts), step):
-            out[a + 1 : a + 1 + step] = coarse[words[a : a + step]].sum(axis=1, dtype=np.uint16)
+            own = out[a + 1 : a + 1 + step]
+            for w in words[:, a : a + step]:
+                own += coarse.take(w, axis=0)
         return np.cumsum(out, axis=0, out=out)
 
     def near(self, term: np.ndarray, start: np.ndarray, first: np.ndarray, end: np.ndarray, segment: np.ndarray) -> np.ndarray:

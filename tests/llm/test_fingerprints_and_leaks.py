@@ -227,3 +227,25 @@ def test_group_sums_are_those_of_each_group_and_of_the_whole_product(monkeypatch
     (got,) = decontam._products(idf, matrix)([pa.RecordBatch.from_arrays([texts], ["text"])])
     got = np.frombuffer(b"".join(got.column("y").to_pylist()), np.float32).reshape(decontam.TERMS, -1)
     assert np.allclose(got, passages.T @ (passages @ matrix), rtol=1e-4, atol=1e-2)
+
+
+@pytest.mark.parametrize("n,longest", [(40, 64), (3, 400)])
+def test_running_sums_may_wrap_but_sums_of_windows_are_right(monkeypatch, n, longest):
+    monkeypatch.setattr(decontam, "_CELLS", 100)
+    r = np.random.default_rng(5)
+    segments = [r.integers(0, 1 << 63, longest).tolist() for _ in range(n)]
+    space = decontam.Space(np.ones(decontam.TERMS, np.float32), r.random((decontam.TERMS, decontam.RANK)).astype(np.float32))
+    search = decontam.Search(space, decontam.Segments(segments, list(range(n)), [None] * n, list(range(n))))
+    # a text of nothing but words of segments, so that sums are as large as they get
+    words = np.concatenate([np.array(segments[i % n]).view(np.uint64) for i in range(200)])
+    term, starts = decontam.terms(words), np.arange(0, len(words), decontam.STRIDE)
+    ((reach, own),) = search.reaches
+    sums = search.coarse_sums(term.astype(np.int32), starts, own, reach)
+    assert sums.dtype.itemsize <= (2 if longest <= decontam.SEGMENT else 4)
+    whole = np.vstack([np.zeros((1, n), np.int64), np.cumsum(search.coarse[term][:, own].astype(np.int64), axis=0)])
+    assert whole[-1].max() >= 1 << 16
+    width = decontam.WINDOW // decontam.STRIDE + 2 * reach
+    at = np.append(starts, len(term))
+    for low in range(0, len(at) - width, 7):
+        got = sums[low + width] - sums[low]
+        assert np.array_equal(got, whole[at[low + width]] - whole[at[low]])
