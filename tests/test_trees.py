@@ -184,3 +184,40 @@ def test_search_has_the_documented_points(people, monkeypatch, tmp_path):
     folds, fits = seen
     sizes = len(models.GRID["numTrees"]) * len(models.GRID["maxDepth"])
     assert len(folds) == 5 and len(fits) * sizes == 54 * 5
+
+
+def test_points_that_grow_the_same_forest_share_a_fit(people, tmp_path, monkeypatch):
+    """"sqrt" and "log2" draw 5 features a node of 17: one fit a fold, the errors of a fit for each strategy."""
+    fits, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, *rest: fits.append(self.getFeatureSubsetStrategy()) or fit(self, *rest))
+    values = {"numTrees": (2, 3), "maxDepth": (2, 4), "featureSubsetStrategy": ("log2", "sqrt", "all")}
+    found = models.searched(models.readmission_forest(), people, str(tmp_path / "all"), values, folds=2)
+    assert sorted(fits[:-1]) == ["all", "all", "log2", "log2"]  # and the refit of the best point
+    got = {tuple(r): r.mse for r in found.errors.drop("place").collect()}
+    assert len(got) == 2 * 2 * 2 * 3
+    for strategy in values["featureSubsetStrategy"]:
+        alone = models.searched(models.readmission_forest(), people, str(tmp_path / strategy), {**values, "featureSubsetStrategy": (strategy,)}, folds=2)
+        assert all(got[tuple(r)] == r.mse for r in alone.errors.drop("place").collect())
+
+
+def test_rows_walk_in_blocks(spark, monkeypatch):
+    """Odd rows against a plain walk; the plan has no step of an interpreted expression."""
+    columns = "tree int, node int, feature int, threshold double, left_values array<double>, left int, right int, value double"
+    nodes = spark.createDataFrame(
+        [
+            (0, 0, 0, 1.5, None, 1, 4, 0.0), (0, 1, 1, None, [0.0, 2.0], 2, 3, 1.0), (0, 2, None, None, None, None, None, 2.0), (0, 3, None, None, None, None, None, 3.0),
+            (0, 4, 2, -1.0, None, 5, 6, 4.0), (0, 5, None, None, None, None, None, 5.0), (0, 6, None, None, None, None, None, 6.0), (3, 0, None, None, None, None, None, 7.0),
+        ],
+        columns,
+    )
+    nan = float("nan")
+    x = [[1.0, 0.0, 0.0], [1.0, 1.0, 0.0], [1.0, 2.0, 0.0], [1.0, nan, 0.0], [nan, 3.0, 0.0], [None, None, None], [2.0, 0.0, -1.0], [2.0, 0.0, 0.5], [2.0], [], None]
+    want = [2, 3, 2, 2, 3, 2, 5, 6, 5, 2, 2]
+    rows = spark.createDataFrame(list(enumerate(x)), "id int, x array<double>")
+    monkeypatch.setattr(trees, "BLOCK", 6)
+    scored = trees.tree_values(rows, nodes, F.col("x"), [0, 1, 2])
+    assert "lambda" not in scored._jdf.queryExecution().toString()
+    got = {r.id: r["values"] for r in scored.collect()}
+    first = [1.0 if v is None or not v or v[0] is None or not v[0] > 1.5 else 4.0 for v in x]
+    assert got == {i: [[0.0, first[i], float(w)], [7.0, 7.0, 7.0]] for i, w in enumerate(want)}
+    assert [r["values"] for r in trees.tree_values(rows, nodes.limit(0), F.col("x"), [2]).collect()] == [[]] * len(x)
