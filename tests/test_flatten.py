@@ -358,3 +358,11 @@ def test_documents_of_one_source_share_its_rows(spark, sf_dir):
     apart = [star.documents(spark, sf_dir, t) for t in ("claim", "immunization", "observation", "procedure")]
     every = apart[0].unionByName(apart[1]).unionByName(apart[2]).unionByName(apart[3])
     assert together.exceptAll(every).isEmpty() and every.exceptAll(together).isEmpty()
+
+
+def test_documents_are_rendered_by_compiled_code(spark, sf_dir):
+    """The texts are made in projections; an explode that made them would interpret every field."""
+    plan = star.documents(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    generates, projects = ([line for line in plan if f"{node} " in line] for node in ("Generate", "Project"))
+    assert len(generates) == 4 and not any("ToJson" in line for line in generates)
+    assert sum("ToJson" in line for line in projects) == 4
