@@ -198,6 +198,9 @@ def test_points_that_grow_the_same_forest_share_a_fit(people, tmp_path, monkeypa
     for strategy in values["featureSubsetStrategy"]:
         alone = models.searched(models.readmission_forest(), people, str(tmp_path / strategy), {**values, "featureSubsetStrategy": (strategy,)}, folds=2)
         assert all(got[tuple(r)] == r.mse for r in alone.errors.drop("place").collect())
+    # the grid's order decides between equal points, whatever the order in which errors are read
+    even = {"numTrees": (1,), "maxDepth": (3,), "featureSubsetStrategy": ("sqrt", "log2")}
+    assert models.searched(models.readmission_forest(), people, str(tmp_path / "even"), even, folds=5).best["featureSubsetStrategy"] == "sqrt"
 
 
 def test_rows_walk_in_blocks(spark, monkeypatch):
